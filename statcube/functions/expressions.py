@@ -126,9 +126,9 @@ def bare_vector(c: Column) -> Column:
     return F.regexp_replace(c, "^v", "")
 
 
-def series_label(vector: Column, labels: Mapping[str, str]) -> Column:
-    """User label of a vector; vectors without one keep their id."""
-    by_vector = {"v" + str(v).removeprefix("v"): name for name, v in labels.items()}
+def series_label(vector: Column, vectors: Mapping[str, str]) -> Column:
+    """Label from a mapping label -> vector; vectors without one keep their id."""
+    by_vector = {"v" + str(v).removeprefix("v"): label for label, v in vectors.items()}
     return F.coalesce(F.try_element_at(literal_map(by_vector), vector), vector)
 
 

@@ -39,7 +39,7 @@ def select_vectors(df: DataFrame, vectors: Iterable[str | int] | Mapping[str, st
 
 def label_series(df: DataFrame, vectors: Mapping[str, str]) -> DataFrame:
     """Add ``label`` from a mapping label -> vector; unnamed vectors keep their id."""
-    return df.withColumn("label", X.series_label(F.col("VECTOR"), {v: k for k, v in vectors.items()}))
+    return df.withColumn("label", X.series_label(F.col("VECTOR"), vectors))
 
 
 def request_frame(spark: SparkSession, requests: Mapping[str, Sequence[str]]) -> DataFrame:

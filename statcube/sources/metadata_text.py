@@ -81,14 +81,10 @@ def parse_cube_metadata(spark: SparkSession, path: str, language: str = "eng") -
             "file", fields("title").alias("names"), F.posexplode("records").alias("pos", "record")
         )
         pairs = F.filter(
-            F.arrays_zip(F.col("names").alias("key"), fields("record").alias("value")),
+            F.zip_with("names", fields("record"), lambda k, v: F.struct(k.alias("key"), v.alias("value"))),
             lambda p: p["key"].isNotNull(),
         )
-        return rows.filter("pos > 0").select(
-            "file",
-            "pos",
-            F.map_from_entries(F.transform(pairs, lambda p: F.struct(p[0], p[1]))).alias("fields"),
-        )
+        return rows.filter("pos > 0").select("file", "pos", F.map_from_entries(pairs).alias("fields"))
 
     title = F.col("title")
     is_dimension = title.startswith(f'"{n.dimension_id}"')

@@ -244,10 +244,9 @@ def catalog_rows(raw: DataFrame, lite: bool = False) -> DataFrame:
             kept.append(column(name))
     names = []
     if not lite and "dimensions" in raw.columns:
-        for suffix in ("En", "Fr"):
-            field = f"dimensionName{suffix}"
-            listed = F.transform("dimensions", lambda d, f=field: d[f])
-            names.append(F.array_join(listed, ", ").alias(field))
+        # A field of an array of structs is the array of that field.
+        for field in ("dimensionNameEn", "dimensionNameFr"):
+            names.append(F.array_join(f"dimensions.{field}", ", ").alias(field))
     return raw.select(
         X.clean_cube_id(F.col("productId")).alias(CUBE_ID), "cubeTitleEn", "cubeTitleFr", *kept, *names
     )
