@@ -17,7 +17,7 @@ from statcube.functions.names import (
     language_of,
     names_for,
 )
-from statcube.operators.joins import BROADCAST_ROWS, lookup_join, number_rows
+from statcube.operators.joins import BROADCAST_ROWS, is_bounded, lookup_join, number_rows
 from statcube.operators.members import build_hierarchy, category_levels, dedupe_members, member_order
 from statcube.sources.scratch import materialize
 
@@ -96,10 +96,11 @@ def describe_cube(
     members: DataFrame, cube_id: str, language: str = "eng", broadcast_rows: int = BROADCAST_ROWS
 ) -> CubeMetadata:
     """Prepare the members of a cube: paths, unambiguous names, order; measure their number."""
-    own = members.filter(F.col(CUBE_ID) == cube_id)
+    own = materialize(members.filter(F.col(CUBE_ID) == cube_id), "members")
     key = [CUBE_ID, "dim_id", "member_id"]
     levels = category_levels(dedupe_members(own)).drop("member_name")
-    ready = materialize(lookup_join(build_hierarchy(own), levels, key), "members")
+    small = is_bounded(own, broadcast_rows)
+    ready = materialize(lookup_join(build_hierarchy(own), levels, key, bounded=small), "members")
     rows = (
         ready.groupBy("dim_id", "dim_name")
         .agg(
@@ -114,8 +115,7 @@ def describe_cube(
     dimensions = tuple(
         Dimension(int(r.dim_id), r.dim_name, r.has_codes, r.renamed, r.n == r.n_names) for r in rows
     )
-    bounded = sum(r.n for r in rows) <= broadcast_rows
-    return CubeMetadata(cube_id, language, ready, dimensions, bounded)
+    return CubeMetadata(cube_id, language, ready, dimensions, small)
 
 
 def attach_by_coordinate(

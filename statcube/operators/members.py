@@ -37,12 +37,16 @@ def build_hierarchy(members: DataFrame) -> DataFrame:
     still has a parent.
     """
     key = list(DIMENSION_KEY)
-    state = members.select(
-        *key,
-        "member_id",
-        F.array("member_id").alias("path"),
-        F.col("parent_id").alias("above"),
+    state = materialize(
+        members.select(
+            *key,
+            "member_id",
+            F.array("member_id").alias("path"),
+            F.col("parent_id").alias("above"),
+        ),
+        "hierarchy",
     )
+    bounded = is_bounded(state)
     open_ends = True
     for _ in range(math.ceil(math.log2(MAX_DEPTH + 1))):
         tops = state.select(
@@ -51,7 +55,7 @@ def build_hierarchy(members: DataFrame) -> DataFrame:
             F.col("path").alias("top_path"),
             F.col("above").alias("next_above"),
         )
-        growing = lookup_join(state.filter(F.col("above").isNotNull()), tops, [*key, "above"])
+        growing = lookup_join(state.filter(F.col("above").isNotNull()), tops, [*key, "above"], bounded=bounded)
         grown = growing.select(
             *key,
             "member_id",
@@ -67,7 +71,7 @@ def build_hierarchy(members: DataFrame) -> DataFrame:
     size = F.size("path")
     kept = F.slice("path", F.greatest(F.lit(1), size - MAX_DEPTH), F.lit(MAX_DEPTH + 1))
     paths = state.select(*key, "member_id", F.array_join(kept, ".").alias("hierarchy"))
-    return lookup_join(members, paths, [*key, "member_id"])
+    return lookup_join(members, paths, [*key, "member_id"], bounded=bounded)
 
 
 def add_member_labels(members: DataFrame) -> DataFrame:
@@ -153,8 +157,7 @@ def dedupe_members(members: DataFrame) -> DataFrame:
     Geographies of census cubes are left as they are.
     """
     key = list(DIMENSION_KEY)
-    bounded = is_bounded(members)
-    levels = _flag_duplicates(
+    start = materialize(
         members.select(
             *key,
             "member_id",
@@ -162,8 +165,10 @@ def dedupe_members(members: DataFrame) -> DataFrame:
             "member_name",
             F.col("parent_id").alias("above"),
         ),
-        bounded,
+        "names",
     )
+    bounded = is_bounded(start)
+    levels = _flag_duplicates(start, bounded)
     levels = materialize(
         levels.withColumn("original", ~F.col("clash")).drop("clash"), "names"
     )

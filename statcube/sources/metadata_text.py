@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from statcube.functions import expressions as X
 from statcube.functions.names import names_for
 
-MAX_FIELDS = 40
-# A record ends at a line break outside quotes.
+# A record ends at a line break outside quotes. Possessive loops keep long texts linear.
 _RECORD = r'[^"\n]*+(?:"[^"]*+"[^"\n]*+)*+'
+_QUOTED = r'"[^"]*+(?:""[^"]*+)*+"'
 _NOTE = r'^"?(\d+)"?'
 
 
@@ -69,12 +69,22 @@ def parse_cube_metadata(spark: SparkSession, path: str, language: str = "eng") -
         ).alias("records"),
     ).filter(F.size("records") > 0)
     titled = records.select("file", "records", F.col("records")[0].alias("title"))
-    slots = ", ".join(f"c{i} string" for i in range(MAX_FIELDS))
-    options = {"sep": n.delimiter, "quote": '"', "escape": '"'}
-
     def fields(record: str) -> Column:
-        parsed = F.from_csv(record, slots, options)
-        return F.array(*[parsed[f"c{i}"] for i in range(MAX_FIELDS)])
+        """Fields of a record; quoted ones are unquoted, empty ones are missing."""
+        d = n.delimiter
+        raw = F.regexp_extract_all(
+            F.concat(F.lit(d), F.col(record)), F.lit(f"{d}({_QUOTED}|[^{d}]*+)"), F.lit(1)
+        )
+        return F.transform(
+            raw,
+            lambda f: F.nullif(
+                F.when(
+                    f.startswith('"'),
+                    F.replace(F.regexp_replace(f, '^"|"$', ""), F.lit('""'), F.lit('"')),
+                ).otherwise(f),
+                F.lit(""),
+            ),
+        )
 
     def table(condition: Column) -> DataFrame:
         rows = titled.filter(condition).select(
@@ -82,7 +92,7 @@ def parse_cube_metadata(spark: SparkSession, path: str, language: str = "eng") -
         )
         pairs = F.filter(
             F.zip_with("names", fields("record"), lambda k, v: F.struct(k.alias("key"), v.alias("value"))),
-            lambda p: p["key"].isNotNull(),
+            lambda pair: pair["key"].isNotNull(),
         )
         return rows.filter("pos > 0").select("file", "pos", F.map_from_entries(pairs).alias("fields"))
 
