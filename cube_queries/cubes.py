@@ -124,7 +124,7 @@ def orders_members(spark: SparkSession, folder: str) -> DataFrame:
         )
 
     world = rows(
-        spark.range(1), 1, "Geography", F.lit(1), F.lit("World"), nothing, F.lit("[W]")
+        spark.range(0, 1, 1, 1), 1, "Geography", F.lit(1), F.lit("World"), nothing, F.lit("[W]")
     )
     regions = rows(
         region, 1, "Geography", F.col("r_regionkey") + 2, F.col("r_name"), F.lit(1),
@@ -140,7 +140,9 @@ def orders_members(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("[P"), prio, F.lit("]")),
     )
     stats = rows(
-        spark.createDataFrame([(i, name) for i, name, *_ in STATISTICS], "id int, name string"),
+        spark.range(0, 1, 1, 1).select(
+            F.inline(F.array(*[F.struct(F.lit(i).alias("id"), F.lit(name).alias("name")) for i, name, *_ in STATISTICS]))
+        ),
         3, "Statistic", F.col("id"), F.col("name"), nothing, nothing,
     )
     return world.unionByName(regions).unionByName(nations).unionByName(prios).unionByName(stats)

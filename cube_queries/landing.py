@@ -230,7 +230,7 @@ def loaded(spark, folder):
     line = _quoted_line
     members = orders_members(spark, folder)
     lit = F.lit
-    first = spark.range(1)
+    first = spark.range(0, 1, 1, 1)
     sections = (
         first.select(lit(0).alias("s"), lit(0).cast("bigint").alias("p"), line(lit("Cube Title")).alias("t"))
         .unionAll(first.select(lit(0), lit(1), line(lit("Orders"))))

@@ -17,9 +17,9 @@ from statcube.functions.names import (
     language_of,
     names_for,
 )
-from statcube.operators.joins import BROADCAST_ROWS, is_bounded, lookup_join, number_rows
+from statcube.operators.joins import BROADCAST_ROWS, lookup_join, number_rows
 from statcube.operators.members import build_hierarchy, category_levels, dedupe_members, member_order
-from statcube.sources.scratch import materialize
+from statcube.sources.scratch import materialize, materialize_counted
 
 ORDER_SUFFIX = "__ord"
 _MEMBER = "__member"
@@ -96,10 +96,10 @@ def describe_cube(
     members: DataFrame, cube_id: str, language: str = "eng", broadcast_rows: int = BROADCAST_ROWS
 ) -> CubeMetadata:
     """Prepare the members of a cube: paths, unambiguous names, order; measure their number."""
-    own = materialize(members.filter(F.col(CUBE_ID) == cube_id), "members")
+    own, n_members = materialize_counted(members.filter(F.col(CUBE_ID) == cube_id), "members")
+    small = n_members <= broadcast_rows
     key = [CUBE_ID, "dim_id", "member_id"]
-    levels = category_levels(dedupe_members(own)).drop("member_name")
-    small = is_bounded(own, broadcast_rows)
+    levels = category_levels(dedupe_members(own), small).drop("member_name")
     ready = materialize(lookup_join(build_hierarchy(own), levels, key, bounded=small), "members")
     rows = (
         ready.groupBy("dim_id", "dim_name")
@@ -210,7 +210,9 @@ def order_categories(df: DataFrame, meta: CubeMetadata) -> DataFrame:
     return result.select(*[column(c) for c in columns], *[column(c) for c in orders])
 
 
-def coordinate_names(members: DataFrame, language: str = "eng") -> DataFrame:
+def coordinate_names(
+    members: DataFrame, language: str = "eng", bounded: bool | None = None
+) -> DataFrame:
     """Column name and member label used when names are attached to bare coordinates.
 
     Repeated names in a dimension get `` (k)`` in member order; a geography in first position
@@ -220,7 +222,11 @@ def coordinate_names(members: DataFrame, language: str = "eng") -> DataFrame:
     name_key = [CUBE_ID, "dim_id", "member_name"]
     repeated = members.groupBy(*name_key).count().filter("count > 1").drop("count")
     numbered = number_rows(
-        lookup_join(members, repeated, name_key, "left_semi"), name_key, [member_order()], "k"
+        lookup_join(members, repeated, name_key, "left_semi", bounded=bounded),
+        name_key,
+        [member_order()],
+        "k",
+        bounded=bool(bounded),
     ).select(
         CUBE_ID,
         "dim_id",
@@ -228,7 +234,7 @@ def coordinate_names(members: DataFrame, language: str = "eng") -> DataFrame:
         F.concat("member_name", F.lit(" ("), F.col("k").cast("string"), F.lit(")")).alias("numbered"),
     )
     first_geography = (F.col("dim_id") == 1) & F.col("dim_name").isin(*n.geography_names)
-    return lookup_join(members, numbered, [CUBE_ID, "dim_id", "member_id"]).select(
+    return lookup_join(members, numbered, [CUBE_ID, "dim_id", "member_id"], bounded=bounded).select(
         CUBE_ID,
         "dim_id",
         F.when(first_geography, F.lit(n.geo)).otherwise(F.col("dim_name")).alias("field"),
@@ -243,8 +249,9 @@ def attach_member_names(df: DataFrame, members: DataFrame, language: str = "eng"
     A member that is not in the metadata leaves NULL.
     """
     coordinate = names_for(language).coordinate
-    labels = materialize(coordinate_names(members, language), "labels")
-    n_labels = labels.count()
+    own, n_members = materialize_counted(members, "members")
+    bounded = n_members <= BROADCAST_ROWS
+    labels = materialize(coordinate_names(own, language, bounded), "labels")
     fields = labels.select("dim_id", "field").distinct().orderBy("dim_id", "field").collect()
     result = df
     for row in fields:
@@ -253,9 +260,7 @@ def attach_member_names(df: DataFrame, members: DataFrame, language: str = "eng"
             (F.col("dim_id") == row.dim_id) & (F.col("field") == row.field)
         ).select(CUBE_ID, F.col("member_id").alias(_MEMBER), F.col("member_label").alias(slot))
         keyed = result.withColumn(_MEMBER, X.coordinate_part(column(coordinate), int(row.dim_id)))
-        result = lookup_join(
-            keyed, lookup, [CUBE_ID, _MEMBER], bounded=n_labels <= BROADCAST_ROWS
-        ).drop(_MEMBER)
+        result = lookup_join(keyed, lookup, [CUBE_ID, _MEMBER], bounded=bounded).drop(_MEMBER)
     merged: dict[str, list[Column]] = {}
     for row in fields:
         merged.setdefault(row.field, []).append(column(f"__{row.dim_id}_{row.field}"))

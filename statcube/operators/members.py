@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from statcube.functions import expressions as X
 from statcube.functions.names import column, names_for
-from statcube.operators.joins import is_bounded, lookup_join, number_rows
-from statcube.sources.scratch import materialize
+from statcube.operators.joins import BROADCAST_ROWS, lookup_join, number_rows
+from statcube.sources.scratch import materialize, materialize_counted
 
 DIMENSION_KEY = ("cube_id", "dim_id")
 MAX_DEPTH = 100
@@ -37,7 +37,7 @@ def build_hierarchy(members: DataFrame) -> DataFrame:
     still has a parent.
     """
     key = list(DIMENSION_KEY)
-    state = materialize(
+    state, n_members = materialize_counted(
         members.select(
             *key,
             "member_id",
@@ -46,8 +46,8 @@ def build_hierarchy(members: DataFrame) -> DataFrame:
         ),
         "hierarchy",
     )
-    bounded = is_bounded(state)
-    open_ends = True
+    bounded = n_members <= BROADCAST_ROWS
+    open_ends = 1
     for _ in range(math.ceil(math.log2(MAX_DEPTH + 1))):
         tops = state.select(
             *key,
@@ -62,8 +62,10 @@ def build_hierarchy(members: DataFrame) -> DataFrame:
             F.concat(F.coalesce("top_path", F.array("above")), F.col("path")).alias("path"),
             F.col("next_above").alias("above"),
         )
-        state = materialize(state.filter(F.col("above").isNull()).unionByName(grown), "hierarchy")
-        open_ends = not state.filter(F.col("above").isNotNull()).isEmpty()
+        closed = state.filter(F.col("above").isNull())
+        state, open_ends = materialize_counted(
+            closed.unionByName(grown), "hierarchy", F.col("above").isNotNull()
+        )
         if not open_ends:
             break
     if open_ends:
@@ -157,7 +159,7 @@ def dedupe_members(members: DataFrame) -> DataFrame:
     Geographies of census cubes are left as they are.
     """
     key = list(DIMENSION_KEY)
-    start = materialize(
+    start, n_members = materialize_counted(
         members.select(
             *key,
             "member_id",
@@ -167,15 +169,13 @@ def dedupe_members(members: DataFrame) -> DataFrame:
         ),
         "names",
     )
-    bounded = is_bounded(start)
-    levels = _flag_duplicates(start, bounded)
-    levels = materialize(
-        levels.withColumn("original", ~F.col("clash")).drop("clash"), "names"
-    )
+    bounded = n_members <= BROADCAST_ROWS
+    flagged = _flag_duplicates(start, bounded).withColumn("original", ~F.col("clash"))
+    levels, clashes = materialize_counted(flagged.drop("clash"), "names", F.col("duplicated"))
     for _ in range(MAX_RENAMES):
-        clashing = levels.filter("duplicated")
-        if clashing.isEmpty():
+        if not clashes:
             break
+        clashing = levels.filter("duplicated")
         ancestors = levels.select(
             *key,
             F.col("member_id").alias("above"),
@@ -195,15 +195,18 @@ def dedupe_members(members: DataFrame) -> DataFrame:
             .drop("above_name", "next_above")
         )
         merged = levels.filter("NOT duplicated").unionByName(renamed)
-        levels = materialize(_flag_duplicates(merged, bounded).drop("clash"), "names")
+        levels, clashes = materialize_counted(
+            _flag_duplicates(merged, bounded).drop("clash"), "names", F.col("duplicated")
+        )
     return levels.select(
         *key, "member_id", F.col("name").alias("level_name"), "original", "member_name"
     )
 
 
-def category_levels(levels: DataFrame) -> DataFrame:
+def category_levels(levels: DataFrame, bounded: bool = False) -> DataFrame:
     """Order of the categories of each dimension: (dimension, numeric member id)."""
-    return number_rows(levels, DIMENSION_KEY, [member_order(), F.col("member_id")], "ord")
+    order = [member_order(), F.col("member_id")]
+    return number_rows(levels, DIMENSION_KEY, order, "ord", bounded=bounded)
 
 
 def categories_for_level(

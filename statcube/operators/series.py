@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from statcube.functions import expressions as X
 from statcube.functions.names import CUBE_ID, column, names_for
-from statcube.operators.joins import SALTS, lookup_join, number_rows
+from statcube.operators.joins import BROADCAST_ROWS, SALTS, lookup_join, number_rows
 from statcube.operators.members import member_order
-from statcube.sources.scratch import materialize
+from statcube.sources.scratch import materialize, materialize_counted
 
 BATCH_SIZE = 300
 ALL_PERIODS = 1_000_000
@@ -45,7 +45,11 @@ def label_series(df: DataFrame, vectors: Mapping[str, str]) -> DataFrame:
 def request_frame(spark: SparkSession, requests: Mapping[str, Sequence[str]]) -> DataFrame:
     """(cube, coordinate) rows of a mapping cube -> coordinates."""
     rows = [(cube, c) for cube, coordinates in requests.items() for c in coordinates]
-    return spark.createDataFrame(rows, f"{CUBE_ID} string, COORDINATE string")
+    if not rows or len(rows) > 1000:
+        return spark.createDataFrame(rows, f"{CUBE_ID} string, COORDINATE string")
+    # A short list is part of the plan, which spares the start of Python workers.
+    cells = [F.struct(F.lit(a).alias(CUBE_ID), F.lit(b).alias("COORDINATE")) for a, b in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*cells)))
 
 
 def normalize_requests(requests: DataFrame, periods: int | None = None) -> DataFrame:
@@ -124,13 +128,14 @@ def latest_n(
 def select_coordinates(df: DataFrame, requests: DataFrame, language: str = "eng") -> DataFrame:
     """Latest periods of requested (cube, coordinate) series; coordinates may lack trailing zeros."""
     coordinate = names_for(language).coordinate
-    wanted = materialize(normalize_requests(requests), "requests")
+    wanted, n_requests = materialize_counted(normalize_requests(requests), "requests")
     largest = wanted.agg(F.max("periods")).first()[0]
     lookup = wanted.select(
         CUBE_ID, X.strip_coordinate(F.col("COORDINATE")).alias("__series"), F.col("periods").alias("__periods")
     )
     keyed = df.withColumn("__series", X.strip_coordinate(column(coordinate)))
-    found = lookup_join(keyed, lookup, [CUBE_ID, "__series"], "inner")
+    bounded = n_requests <= BROADCAST_ROWS
+    found = lookup_join(keyed, lookup, [CUBE_ID, "__series"], "inner", bounded=bounded)
     key = [CUBE_ID, "__series"]
     n = names_for(language)
     value = n.value if n.value in df.columns else None
@@ -187,10 +192,13 @@ def cube_template(
         own = own.filter((F.col("dim_name") != name) | condition)
     distinct = own.select("dim_id", "dim_name", "member_id", "member_name").distinct()
     order = [member_order(), F.col("member_id"), F.col("member_name")]
-    numbered = materialize(number_rows(distinct, ["dim_id"], order, "n"), "template")
-    every = members.filter(F.col(CUBE_ID) == cube_id).select("dim_id", "dim_name").distinct()
-    dimensions = every.orderBy("dim_id").collect()  # at most ten positions
+    chosen, n_members = materialize_counted(distinct, "template")
+    bounded = n_members <= BROADCAST_ROWS
+    numbered = materialize(number_rows(chosen, ["dim_id"], order, "n", bounded=bounded), "template")
     sizes = {r.dim_id: r["count"] for r in numbered.groupBy("dim_id").count().collect()}
+    every = members.filter(F.col(CUBE_ID) == cube_id) if keep else numbered
+    # At most ten positions.
+    dimensions = every.select("dim_id", "dim_name").distinct().orderBy("dim_id").collect()
 
     total = math.prod(sizes.get(d.dim_id, 0) for d in dimensions) if dimensions else 0
     tasks = max(spark.sparkContext.defaultParallelism, total // 2_000_000)
@@ -205,7 +213,7 @@ def cube_template(
             F.col("member_id").alias(f"__id{d.dim_id}"),
         )
         keyed = result.withColumn("__n", F.expr(f"CAST((__i div {stride}) % {size} AS INT) + 1"))
-        result = lookup_join(keyed, lookup, ["__n"], "inner").drop("__n")
+        result = lookup_join(keyed, lookup, ["__n"], "inner", bounded=bounded).drop("__n")
     ids = [F.col(f"__id{d.dim_id}") for d in dimensions]
     return result.select(
         F.lit(cube_id).alias(CUBE_ID),

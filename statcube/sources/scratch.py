@@ -9,7 +9,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -36,3 +37,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize_counted(
+    df: DataFrame, label: str, condition: Column | None = None
+) -> tuple[DataFrame, int]:
+    """Write a frame and count its rows (that meet a condition) in the same job.
+
+    A task that is retried may be counted again, so use the number as an upper bound.
+    """
+    counted = Observation()
+    what = F.count(F.lit(1)) if condition is None else F.count_if(condition)
+    written = materialize(df.observe(counted, what.alias("n")), label)
+    return written, int(counted.get.get("n") or 0)

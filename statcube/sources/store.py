@@ -58,8 +58,9 @@ def _record(
 ) -> None:
     now = datetime.now(timezone.utc)
     row = (cube_id, language, FORMAT, title, location, list(partitioning), schema_json, event, now)
-    one = spark.createDataFrame([row], REGISTRY_SCHEMA)
-    one.coalesce(1).write.mode("append").parquet(_registry_path(root))
+    fields = T.StructType.fromDDL(REGISTRY_SCHEMA).fields
+    values = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]
+    spark.range(0, 1, 1, 1).select(*values).write.mode("append").parquet(_registry_path(root))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
