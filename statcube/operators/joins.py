@@ -78,11 +78,8 @@ def number_rows(
     if largest is None or largest <= limit:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
-    sort_columns = [f"__order{i}" for i in range(len(order))]
-    ranged = (
-        df.withColumns(dict(zip(sort_columns, order)))
-        .repartitionByRange(*[column(k) for k in keys], *[F.col(c) for c in sort_columns])
-        .withColumn("__range", F.spark_partition_id())
+    ranged = df.repartitionByRange(*[column(k) for k in keys], *order).withColumn(
+        "__range", F.spark_partition_id()
     )
     # The range of a row must not change between the two uses below.
     ranged = materialize(ranged, "ranges")
@@ -93,7 +90,7 @@ def number_rows(
         .withColumn("__offset", F.coalesce(F.sum("count").over(before), F.lit(0)))
         .drop("count")
     )
-    inside = Window.partitionBy(*keys, "__range").orderBy(*[F.col(c) for c in sort_columns])
+    inside = Window.partitionBy(*keys, "__range").orderBy(*order)
     numbered = ranged.withColumn("__inside", F.row_number().over(inside))
     null_safe = [numbered[k].eqNullSafe(offsets[k]) for k in [*keys, "__range"]]
     joined = numbered.join(offsets, null_safe, "left")

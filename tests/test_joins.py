@@ -1,0 +1,46 @@
+from pyspark.sql import functions as F
+from pyspark.sql import Window
+
+from statcube.operators.joins import lookup_join, number_rows
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def hot_frame(spark):
+    """Two thirds of the rows share one key, some have none."""
+    k = F.when(F.col("id") % 3 < 2, F.lit("hot")).when(F.col("id") % 100 == 2, None).otherwise(F.col("id").cast("string"))
+    return spark.range(3000).select(k.alias("k"), "id")
+
+
+def test_salted_lookup_equals_plain_join(spark):
+    left = hot_frame(spark)
+    right = left.select("k").distinct().filter("k IS NOT NULL").withColumn("v", F.length("k"))
+    right = right.filter("k <> '5'")
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        plain = left.join(right, ["k"], how)
+        assert rows(lookup_join(left, right, ["k"], how, bounded=False)) == rows(plain)
+        assert rows(lookup_join(left, right, ["k"], how)) == rows(plain)
+
+
+def test_salted_lookup_spreads_the_hot_key(spark):
+    left = hot_frame(spark)
+    right = spark.createDataFrame([("hot", 1)], "k string, v int")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lookup_join(left, right, ["k"], "inner", bounded=False)
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) > 3
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_row_numbers_over_ranges_equal_a_window(spark):
+    df = hot_frame(spark)
+    plain = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("id"))))
+    split = number_rows(df, ["k"], [F.desc("id")], "n", group_rows=0)
+    assert rows(split) == rows(plain)
+    assert rows(number_rows(df, ["k"], [F.desc("id")], "n")) == rows(plain)
