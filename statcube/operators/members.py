@@ -55,17 +55,18 @@ def build_hierarchy(members: DataFrame) -> DataFrame:
             F.col("path").alias("top_path"),
             F.col("above").alias("next_above"),
         )
-        growing = lookup_join(state.filter(F.col("above").isNotNull()), tops, [*key, "above"], bounded=bounded)
-        grown = growing.select(
+        # A small set is joined as a whole; of a large one only the members that still grow.
+        above = F.col("above")
+        growing = state if bounded else state.filter(above.isNotNull())
+        longer = F.concat(F.coalesce("top_path", F.array(above)), F.col("path"))
+        grown = lookup_join(growing, tops, [*key, "above"], bounded=bounded).select(
             *key,
             "member_id",
-            F.concat(F.coalesce("top_path", F.array("above")), F.col("path")).alias("path"),
+            F.when(above.isNull(), F.col("path")).otherwise(longer).alias("path"),
             F.col("next_above").alias("above"),
         )
-        closed = state.filter(F.col("above").isNull())
-        state, open_ends = materialize_counted(
-            closed.unionByName(grown), "hierarchy", F.col("above").isNotNull()
-        )
+        merged = grown if bounded else state.filter(above.isNull()).unionByName(grown)
+        state, open_ends = materialize_counted(merged, "hierarchy", above.isNotNull())
         if not open_ends:
             break
     if open_ends:
@@ -175,26 +176,29 @@ def dedupe_members(members: DataFrame) -> DataFrame:
     for _ in range(MAX_RENAMES):
         if not clashes:
             break
-        clashing = levels.filter("duplicated")
         ancestors = levels.select(
             *key,
             F.col("member_id").alias("above"),
             F.col("member_name").alias("above_name"),
             F.col("above").alias("next_above"),
         )
+        clash = F.col("duplicated")
+        longer = F.coalesce(
+            F.concat("name", F.lit(" ==> "), "above_name"),
+            F.concat("name", F.lit(" ["), "member_id", F.lit("]")),
+        )
+        touched = levels if bounded else levels.filter(clash)
         renamed = (
-            lookup_join(clashing, ancestors, [*key, "above"], bounded=bounded)
-            .withColumn(
-                "name",
-                F.coalesce(
-                    F.concat("name", F.lit(" ==> "), "above_name"),
-                    F.concat("name", F.lit(" ["), "member_id", F.lit("]")),
-                ),
+            lookup_join(touched, ancestors, [*key, "above"], bounded=bounded)
+            .withColumns(
+                {
+                    "name": F.when(clash, longer).otherwise(F.col("name")),
+                    "above": F.when(clash, F.col("next_above")).otherwise(F.col("above")),
+                }
             )
-            .withColumn("above", F.col("next_above"))
             .drop("above_name", "next_above")
         )
-        merged = levels.filter("NOT duplicated").unionByName(renamed)
+        merged = renamed if bounded else levels.filter(~clash).unionByName(renamed)
         levels, clashes = materialize_counted(
             _flag_duplicates(merged, bounded).drop("clash"), "names", F.col("duplicated")
         )
