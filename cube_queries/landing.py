@@ -130,60 +130,47 @@ def _quoted_line(*columns):
 
 
 def _land_metadata(spark, folder):
-    """One metadata file per block of documents: the documents are its notes."""
-    documents = table(spark, folder, "documents")
-    lit = F.lit
-    block = F.floor(F.col("doc_id") / 250)
-    line = _quoted_line
-    members = orders_members(spark, folder)
-    blocks = documents.select(block.alias("block")).distinct()
+    """One metadata file per block of documents: they are its members, and its notes."""
+    lit, line = F.lit, _quoted_line
+    doc, lang = text(F.col("doc_id")), F.col("lang")
+    documents = table(spark, folder, "documents").withColumn("block", F.floor(F.col("doc_id") / 250))
     head = [
-        (0, 0, line(lit("Cube Title"), lit("Product Id"))),
-        (0, 1, line(F.concat(lit("Cube "), text(F.col("block"))), text(F.col("block")))),
-        (1, 0, line(lit("Dimension ID"), lit("Dimension name"), lit("Dimension Notes"))),
-        (2, 0, line(lit("Dimension ID"), lit("Member Name"), lit("Classification Code"), lit("Member ID"),
-                    lit("Parent Member ID"), lit("Terminated"), lit("Member Notes"))),
-        (3, 0, lit("Symbol Legend")),
-        (3, 1, line(lit("Description"), lit("Symbol"))),
-        (4, 0, line(lit("Survey Code"), lit("Survey Name"))),
-        (4, 1, line(lit("12"), lit("Survey, the twelfth"))),
-        (5, 0, line(lit("Subject Code"), lit("Subject Name"))),
-        (5, 1, line(lit("34"), lit("Subject"))),
-        (6, 0, line(lit("Note ID"), lit("Note"))),
-        (7, 0, line(lit("Correction ID"), lit("Correction Date"), lit("Correction Note"))),
+        (0, line(lit("Cube Title"), lit("Product Id"))),
+        (1, line(F.concat(lit("Cube "), text(F.col("block"))), text(F.col("block")))),
+        (2, line(lit("Dimension ID"), lit("Dimension name"), lit("Dimension Notes"))),
+        (3, line(lit("1"), lit("Document"), lit("1;2"))),
+        (4, line(lit("Dimension ID"), lit("Member Name"), lit("Classification Code"), lit("Member ID"),
+                 lit("Parent Member ID"), lit("Terminated"), lit("Member Notes"))),
+        (6, lit("Symbol Legend")),
+        (7, line(lit("Description"), lit("Symbol"))),
+        (8, line(lit("Survey Code"), lit("Survey Name"))),
+        (9, line(lit("12"), lit("Survey, the twelfth"))),
+        (10, line(lit("Subject Code"), lit("Subject Name"))),
+        (11, line(lit("34"), lit("Subject"))),
+        (12, line(lit("Note ID"), lit("Note"))),
+        (14, line(lit("Correction ID"), lit("Correction Date"), lit("Correction Note"))),
     ]
-    fixed = blocks.select(
-        "block",
-        F.inline(F.array(*[F.struct(lit(s).alias("s"), lit(p).cast("bigint").alias("p"), t.alias("t")) for s, p, t in head])),
-    )
-    dims = members.select("dim_id", "dim_name").distinct()
-    notes = text(F.col("dim_id"))
-    body = blocks.join(
-        dims.select(lit(1).alias("s"), F.col("dim_id").cast("bigint").alias("p"),
-                    line(text(F.col("dim_id")), F.col("dim_name"), notes).alias("t"))
-        .unionByName(
-            members.select(
-                lit(2).alias("s"),
-                (F.col("dim_id") * 100000 + F.col("member_id").cast("bigint")).alias("p"),
-                line(text(F.col("dim_id")), F.col("member_name"), F.col("code"), F.col("member_id"),
-                     F.col("parent_id"), lit(None).cast("string"), notes).alias("t"),
-            )
+    # Lines of one document: a member record and a note record.
+    own = F.array(
+        F.struct(
+            lit(5).alias("s"),
+            F.col("doc_id").alias("p"),
+            line(lit("1"), F.col("source"), F.when(lang != "en", F.concat(lit("["), lang, lit("]"))), doc,
+                 F.when(F.col("doc_id") % 250 != 0, text(F.floor(F.col("doc_id") / 250) * 250)),
+                 lit(None).cast("string"), doc).alias("t"),
+        ),
+        F.struct(
+            lit(13).alias("s"), F.col("doc_id").alias("p"), F.concat(doc, lit(","), line(F.col("text"))).alias("t")
         ),
-        F.col("block") >= 0,
-    )
-    texts = documents.select(
-        block.alias("block"), lit(6).alias("s"), (F.col("doc_id") + 1).alias("p"),
-        F.concat(text(F.col("doc_id")), lit(","), line(F.col("text"))).alias("t"),
     )
-    # A file holds at most 250 notes, so its lines fit in one row.
-    lines = F.transform(F.array_sort(F.collect_list(F.struct("s", "p", "t"))), lambda r: r["t"])
-    whole = (
-        fixed.unionByName(body.select("block", "s", "p", "t"))
-        .unionByName(texts)
-        .groupBy("block")
-        .agg(F.array_join(lines, "\n").alias("value"))
+    fixed = F.array(*[F.struct(lit(s).alias("s"), lit(0).cast("bigint").alias("p"), t.alias("t")) for s, t in head])
+    lines = documents.select("block", F.inline(own)).unionByName(
+        documents.select("block").distinct().select("block", F.inline(fixed))
     )
+    # A file holds at most 250 documents, so its lines fit in one row.
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("s", "p", "t"))), lambda r: r["t"])
     path = scratch_path(spark, "metadata")
+    whole = lines.groupBy("block").agg(F.array_join(ordered, "\n").alias("value"))
     whole.write.partitionBy("block").text(path)
     return path
 
@@ -194,11 +181,10 @@ def _block(c):
 
 @query(
     "metadata_sections",
-    with_tables(
-        ["orders_members"],
-        """SELECT block, dim_id, dim_name, member_id, member_name, parent_id, code, dim_id::VARCHAR AS note_ids
-           FROM orders_members, (SELECT DISTINCT doc_id // 250 AS block FROM documents)""",
-    ),
+    """SELECT doc_id // 250 AS block, 1 AS dim_id, 'Document' AS dim_name, doc_id::VARCHAR AS member_id,
+              source AS member_name, CASE WHEN doc_id % 250 <> 0 THEN (doc_id // 250 * 250)::VARCHAR END AS parent_id,
+              CASE WHEN lang <> 'en' THEN '[' || lang || ']' END AS code, doc_id::VARCHAR AS note_ids
+       FROM documents""",
 )
 def metadata_sections(spark, folder):
     sections = Mt.parse_cube_metadata(spark, _land_metadata(spark, folder))

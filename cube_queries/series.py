@@ -32,7 +32,8 @@ def observations(spark, folder):
 _FINISHED = f"""SELECT '{ORDERS_CUBE}' AS cube_id, "REF_DATE", ("REF_DATE" || '-01')::DATE AS "Date", "GEO",
      regexp_replace("Priority", ' \\[.+\\]$', '') AS "Priority", "Statistic", "VALUE",
      "VALUE" * pow(10.0::DOUBLE, "SCALAR_ID"::INT) AS val_norm, "SCALAR_ID"::INT AS "SCALAR_ID", "VECTOR",
-     "COORDINATE" """
+     "COORDINATE", split_part("COORDINATE", '.', 1)::INT AS "GEO__ord",
+     split_part("COORDINATE", '.', 2)::INT AS "Priority__ord", split_part("COORDINATE", '.', 3)::INT AS "Statistic__ord" """
 
 
 @query(

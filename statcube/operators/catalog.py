@@ -150,10 +150,16 @@ def notes_by_reference(
         F.explode(F.split("note_ids", ";")).alias(n.note_id),
     )
     texts = notes.select(F.col("note_id").cast("string").alias(n.note_id), F.col("note").alias("Note"))
-    joined = exploded.join(texts, n.note_id, "full")
+    # A full outer join in two parts: one note may be referred to by very many members, and only
+    # a left join can be spread over tasks.
+    used = exploded.select(column(n.note_id)).distinct()
+    joined = lookup_join(exploded, texts, [n.note_id]).unionByName(
+        texts.join(used, n.note_id, "left_anti"), allowMissingColumns=True
+    )
+    order = [column(n.note_id).try_cast("bigint").asc_nulls_last(), column(n.dimension_name), column(n.member_name)]
     return joined.select(
         column(n.dimension_name), column(n.member_name), column(n.note_id), "Note"
-    ).orderBy(column(n.note_id).try_cast("bigint").asc_nulls_last())
+    ).orderBy(*order)
 
 
 def map_legacy_ids(

@@ -141,20 +141,15 @@ def attach_by_coordinate(
     return lookup_join(df, materialize(target, "coordinates"), [coordinate])
 
 
-def fold_in_metadata(
-    df: DataFrame, meta: CubeMetadata, dimensions: list[str] | None = None
-) -> DataFrame:
-    """Classification code and hierarchy path of every member, found by coordinate position.
-
-    For geography the code becomes ``GeoUID``. Columns that exist are kept; a dimension
-    that is neither a column nor geography is skipped with a warning.
-    """
+def _metadata_targets(
+    columns: list[str], meta: CubeMetadata, dimensions: list[str] | None
+) -> dict[int, dict[str, str]]:
+    """Metadata columns to attach per dimension position; those that exist are left out."""
     n = names_for(meta.language)
     wanted: dict[int, dict[str, str]] = {}
-    from_code: list[str] = []
     for name in dimensions or [d.name for d in meta.dimensions]:
         dimension = meta.dimension(name)
-        field = data_column(name, df.columns, meta.language)
+        field = data_column(name, columns, meta.language)
         if dimension is None or field is None:
             warnings.warn(f"Don't know how to add metadata for {name}! Ignoring this dimension.")
             continue
@@ -162,12 +157,28 @@ def fold_in_metadata(
             targets = {"code": n.code_for(name), "hierarchy": n.hierarchy_for(name)}
         else:
             targets = {"code": GEO_UID, "hierarchy": n.hierarchy_for(n.geo)}
-        targets = {a: b for a, b in targets.items() if b not in df.columns}
-        if targets.get("code") == GEO_UID:
-            from_code.append(GEO_UID)
-        wanted[dimension.position] = targets
+        wanted[dimension.position] = {a: b for a, b in targets.items() if b not in columns}
+    return wanted
+
+
+def _attach_metadata(
+    df: DataFrame, meta: CubeMetadata, wanted: dict[int, dict[str, str]]
+) -> DataFrame:
     result = attach_by_coordinate(df, meta, wanted)
-    return result.withColumns({c: X.without_brackets(F.col(c)) for c in from_code})
+    if GEO_UID not in df.columns and GEO_UID in result.columns:
+        result = result.withColumn(GEO_UID, X.without_brackets(F.col(GEO_UID)))
+    return result
+
+
+def fold_in_metadata(
+    df: DataFrame, meta: CubeMetadata, dimensions: list[str] | None = None
+) -> DataFrame:
+    """Classification code and hierarchy path of every member, found by coordinate position.
+
+    For geography the code becomes ``GeoUID``. Columns that exist are kept; a dimension
+    that is neither a column nor geography is skipped with a warning.
+    """
+    return _attach_metadata(df, meta, _metadata_targets(df.columns, meta, dimensions))
 
 
 def strip_codes(df: DataFrame, meta: CubeMetadata) -> DataFrame:
@@ -181,24 +192,40 @@ def order_categories(df: DataFrame, meta: CubeMetadata) -> DataFrame:
 
     Dimensions whose names still clash are left as text with a warning.
     """
-    by_id: dict[int, dict[str, str]] = {}
+    return _with_categories(df, meta, {})
+
+
+def fold_in_categories(df: DataFrame, meta: CubeMetadata) -> DataFrame:
+    """Metadata and category order together, with one lookup by member id per dimension.
+
+    Classification codes are stripped from the labels.
+    """
+    return _with_categories(strip_codes(df, meta), meta, _metadata_targets(df.columns, meta, None))
+
+
+def _with_categories(
+    df: DataFrame, meta: CubeMetadata, wanted: dict[int, dict[str, str]]
+) -> DataFrame:
+    columns = df.columns
+    by_id = {position: dict(targets) for position, targets in wanted.items()}
+    replaced: list[str] = []
     by_name: list[tuple[Dimension, str]] = []
     for d in meta.dimensions:
-        field = data_column(d.name, df.columns, meta.language)
+        field = data_column(d.name, columns, meta.language)
         if field is None:
             continue
+        if not d.unique:
+            warnings.warn(f"Inconsistent names of categories in column {field}, left as text.")
         if d.renamed:
-            by_id[d.position] = {"level_name": field}
+            replaced.append(field)
+            targets = by_id.setdefault(d.position, {})
+            targets["level_name"] = field
             if d.unique:
-                by_id[d.position]["ord"] = field + ORDER_SUFFIX
+                targets["ord"] = field + ORDER_SUFFIX
         elif d.unique:
             by_name.append((d, field))
-        if not d.unique:
-            warnings.warn(f"Inconsistent names of categories in column {field}, left as text.")
 
-    replaced = {t["level_name"] for t in by_id.values()}
-    columns = df.columns
-    result = attach_by_coordinate(df.drop(*replaced), meta, by_id)
+    result = _attach_metadata(df.drop(*replaced), meta, by_id)
     for d, field in by_name:
         names = meta.members.filter(F.col("dim_id") == d.position).select(
             F.col("level_name").alias(field), F.col("ord").alias(field + ORDER_SUFFIX)
@@ -206,8 +233,8 @@ def order_categories(df: DataFrame, meta: CubeMetadata) -> DataFrame:
         result = lookup_join(result, names, [field], bounded=meta.bounded)
         known = column(field + ORDER_SUFFIX).isNotNull()
         result = result.withColumn(field, F.when(known, column(field)))
-    orders = [c for c in result.columns if c not in columns]
-    return result.select(*[column(c) for c in columns], *[column(c) for c in orders])
+    added = [c for c in result.columns if c not in columns]
+    return result.select(*[column(c) for c in columns], *[column(c) for c in added])
 
 
 def coordinate_names(
@@ -216,7 +243,7 @@ def coordinate_names(
     """Column name and member label used when names are attached to bare coordinates.
 
     Repeated names in a dimension get `` (k)`` in member order; a geography in first position
-    is called GEO/GÉO.
+    is called GEO/GÉO. ``ord`` is the place of the member among the categories.
     """
     n = names_for(language)
     name_key = [CUBE_ID, "dim_id", "member_name"]
@@ -234,36 +261,50 @@ def coordinate_names(
         F.concat("member_name", F.lit(" ("), F.col("k").cast("string"), F.lit(")")).alias("numbered"),
     )
     first_geography = (F.col("dim_id") == 1) & F.col("dim_name").isin(*n.geography_names)
-    return lookup_join(members, numbered, [CUBE_ID, "dim_id", "member_id"], bounded=bounded).select(
+    labelled = lookup_join(members, numbered, [CUBE_ID, "dim_id", "member_id"], bounded=bounded)
+    return category_levels(labelled, bool(bounded)).select(
         CUBE_ID,
         "dim_id",
         F.when(first_geography, F.lit(n.geo)).otherwise(F.col("dim_name")).alias("field"),
         "member_id",
         F.coalesce("numbered", "member_name").alias("member_label"),
+        "ord",
     )
 
 
-def attach_member_names(df: DataFrame, members: DataFrame, language: str = "eng") -> DataFrame:
+def attach_member_names(
+    df: DataFrame, members: DataFrame, language: str = "eng", categories: bool = False
+) -> DataFrame:
     """Member-name columns for (cube, coordinate) rows of any cubes, one join per dimension.
 
-    A member that is not in the metadata leaves NULL.
+    A member that is not in the metadata leaves NULL. ``categories`` adds ``<column>__ord``.
     """
     coordinate = names_for(language).coordinate
     own, n_members = materialize_counted(members, "members")
     bounded = n_members <= BROADCAST_ROWS
     labels = materialize(coordinate_names(own, language, bounded), "labels")
+    # One row per dimension of the cubes at hand.
     fields = labels.select("dim_id", "field").distinct().orderBy("dim_id", "field").collect()
+    attached = {"member_label": ""}
+    if categories:
+        attached["ord"] = ORDER_SUFFIX
+
+    def slot(row, suffix: str) -> str:
+        return f"__{row.dim_id}_{row.field}{suffix}"
+
     result = df
     for row in fields:
-        slot = f"__{row.dim_id}_{row.field}"
-        lookup = labels.filter(
-            (F.col("dim_id") == row.dim_id) & (F.col("field") == row.field)
-        ).select(CUBE_ID, F.col("member_id").alias(_MEMBER), F.col("member_label").alias(slot))
+        lookup = labels.filter((F.col("dim_id") == row.dim_id) & (F.col("field") == row.field)).select(
+            CUBE_ID,
+            F.col("member_id").alias(_MEMBER),
+            *[F.col(c).alias(slot(row, suffix)) for c, suffix in attached.items()],
+        )
         keyed = result.withColumn(_MEMBER, X.coordinate_part(column(coordinate), int(row.dim_id)))
         result = lookup_join(keyed, lookup, [CUBE_ID, _MEMBER], bounded=bounded).drop(_MEMBER)
     merged: dict[str, list[Column]] = {}
-    for row in fields:
-        merged.setdefault(row.field, []).append(column(f"__{row.dim_id}_{row.field}"))
+    for suffix in attached.values():
+        for row in fields:
+            merged.setdefault(row.field + suffix, []).append(column(slot(row, suffix)))
     return result.select(
         *[column(c) for c in df.columns],
         *[F.coalesce(*parts).alias(field) for field, parts in merged.items()],

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statcube.functions.names import column
-from statcube.sources.scratch import materialize
+from statcube.sources.scratch import materialize, materialize_counted
 
 # A lookup is broadcast only if its row count was measured and stays below this.
 BROADCAST_ROWS = 200_000
@@ -20,12 +20,6 @@ GROUP_ROWS = 5_000_000
 _SALT = "__salt"
 
 
-def is_bounded(df: DataFrame, max_rows: int | None = None) -> bool:
-    """Measure a lookup: true if it has at most ``max_rows`` rows."""
-    limit = BROADCAST_ROWS if max_rows is None else max_rows
-    return limit > 0 and df.count() <= limit
-
-
 def row_salt(df: DataFrame, salts: int = SALTS) -> Column:
     """Piece number from the row's own values, so that a retried task repeats it."""
     hashable = [column(c) for c, kind in df.dtypes if "map<" not in kind]
@@ -37,7 +31,6 @@ def lookup_join(
     lookup: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    max_rows: int | None = None,
     bounded: bool | None = None,
 ) -> DataFrame:
     """Join a large frame to a lookup (inner, left, left_semi or left_anti).
@@ -45,11 +38,14 @@ def lookup_join(
     A lookup of measured small size is broadcast: no shuffle of the large side. Otherwise the
     keys of the large side are salted and the lookup is repeated once per salt, so that one key
     (or the NULL key) that holds a large share of all rows is spread over many tasks.
-    ``bounded`` passes on the result of an earlier measurement.
+
+    The lookup is written once and counted in the same job, so what it is derived from is not
+    computed again by the join. ``bounded`` passes on an earlier measurement instead.
     """
     on = list(on)
     if bounded is None:
-        bounded = is_bounded(lookup, max_rows)
+        lookup, n_rows = materialize_counted(lookup, "lookup")
+        bounded = n_rows <= BROADCAST_ROWS
     if bounded:
         return large.join(F.broadcast(lookup), on, how)
     salted = large.withColumn(_SALT, row_salt(large))

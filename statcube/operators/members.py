@@ -28,6 +28,16 @@ def member_order(name: str = "member_id") -> Column:
     return column(name).try_cast("bigint").asc_nulls_last()
 
 
+def in_numeric_order(df: DataFrame, *ids: str) -> DataFrame:
+    """Sort by text ids as numbers, for member rows and notes; missing ids come last."""
+    return df.orderBy(*[member_order(c) for c in ids])
+
+
+def in_category_order(df: DataFrame, *columns: str) -> DataFrame:
+    """Sort by the order of categories instead of the alphabet; needs ``<column>__ord``."""
+    return df.orderBy(*[column(c + "__ord").asc_nulls_last() for c in columns])
+
+
 def build_hierarchy(members: DataFrame) -> DataFrame:
     """Add ``hierarchy``: the root-first dotted path of member ids.
 

@@ -65,6 +65,11 @@ def normalize_requests(requests: DataFrame, periods: int | None = None) -> DataF
     )
 
 
+def sort_requests(requests: DataFrame) -> DataFrame:
+    """Requests of regular cubes first, then by cube and coordinate."""
+    return requests.orderBy(X.is_census_cube(F.col(CUBE_ID)), CUBE_ID, "COORDINATE")
+
+
 def series_range(
     df: DataFrame, start: date | str | None = None, end: date | str | None = None, column_name: str = "REF_DATE"
 ) -> DataFrame:

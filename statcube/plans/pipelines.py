@@ -25,8 +25,8 @@ from statcube.operators.enrich import (
     CubeMetadata,
     attach_member_names,
     describe_cube,
+    fold_in_categories,
     fold_in_metadata,
-    order_categories,
     strip_codes,
 )
 from statcube.operators.reshape import wide_to_long
@@ -94,12 +94,12 @@ def normalize_cube(
     result = normalize_values(
         df, language, replacement, normalize_percent, default_month, default_day
     )
-    if meta is not None:
+    if meta is not None and categories:
+        result = fold_in_categories(result, meta)
+    elif meta is not None:
         result = fold_in_metadata(result, meta)
-        if categories or strip_classification_code:
+        if strip_classification_code:
             result = strip_codes(result, meta)
-        if categories:
-            result = order_categories(result, meta)
     return canonical_order(result, language)
 
 
@@ -142,11 +142,12 @@ def finish_series(
     language: str = "eng",
     default_month: str = "07",
     default_day: str = "01",
+    categories: bool = True,
 ) -> DataFrame:
     """Names by coordinate, language, values and dates for rows of selected series."""
     n = names_for(language)
     rows = observations if n.language == "eng" else rename_language(observations, "eng", language)
-    named = attach_member_names(rows, members, language)
+    named = attach_member_names(rows, members, language, categories)
     normal = normalize_values(
         named, n.language, default_month=default_month, default_day=default_day
     )

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Sequence
+import warnings
+from collections.abc import Callable, Iterable, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -197,6 +198,39 @@ def open_cube(spark: SparkSession, root: str, cube_id: str, language: str = "eng
     return stored.select(*[column(f.name) for f in schema.fields])
 
 
+def open_current(
+    spark: SparkSession,
+    root: str,
+    cube_id: str,
+    load: Callable[[], DataFrame],
+    language: str = "eng",
+    refresh: bool | str = False,
+    released: datetime | None = None,
+    **options,
+) -> DataFrame:
+    """Open a stored cube; store it first if it is absent, or if it has to be refreshed.
+
+    ``refresh`` True always stores it again, ``"auto"`` if it was ``released`` after it was
+    stored; otherwise an outdated copy only raises a warning. ``load`` gives the new rows, and
+    the replaced version is deleted.
+    """
+    lang = language_code(language)
+    stored = registry_entries(spark, root).filter(
+        (F.col(CUBE_ID) == cube_id) & (F.col("language") == lang)
+    )
+    released_at = F.lit(released).cast("timestamp")
+    outdated = F.coalesce(F.col("time_cached") < released_at, F.lit(False))
+    entry = stored.withColumn("outdated", outdated).first()
+    if entry is not None and not (refresh is True or (refresh == "auto" and entry.outdated)):
+        if entry.outdated:
+            warnings.warn(f"Stored cube {cube_id} is out of date, it was released again {released}.")
+        return open_cube(spark, root, cube_id, lang)
+    cube = store_cube(load(), root, cube_id, lang, **options)
+    if entry is not None:
+        _remove_dataset(spark, root, entry.location)
+    return cube
+
+
 def repartition_cube(
     spark: SparkSession,
     root: str,

@@ -176,3 +176,11 @@ def test_member_lists(spark):
     overview = M.cube_overview(frame(spark, [(str(i), f"m{i}", None) for i in range(1, 13)])).first()
     assert overview.n_members == 12
     assert overview.first_members == ", ".join(f"m{i}" for i in range(1, 11)) + ", ..."
+
+
+def test_orders(spark):
+    ids = [r.member_id for r in M.in_numeric_order(frame(spark, TREE), "dim_id", "member_id").collect()]
+    assert ids == ["1", "2", "3", "5", "10"]
+    levels = M.category_levels(M.dedupe_members(frame(spark, DUPLICATES))).withColumnRenamed("ord", "D__ord")
+    names = [r.level_name for r in M.in_category_order(levels, "D").collect()]
+    assert names[0] == "Total [1]" and names[-1] == "Unique" and len(names) == len(DUPLICATES)

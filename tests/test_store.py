@@ -84,6 +84,26 @@ def test_append(spark, tmp_path):
     assert rows(St.open_cube(spark, root, "20-10-0001")) == rows(whole)
 
 
+def test_refresh_policy(spark, tmp_path):
+    root, loads = str(tmp_path), []
+
+    def load():
+        loads.append(1)
+        return facts(spark)
+
+    def opened(**options):
+        return St.open_current(spark, root, "20-10-0001", load, partition_by=["GEO"], **options).count()
+
+    assert opened() == 3 and opened() == 3 and len(loads) == 1
+    assert opened(refresh="auto", released=datetime(2020, 1, 1)) == 3 and len(loads) == 1
+    with pytest.warns(UserWarning, match="out of date"):
+        assert opened(released=datetime(2999, 1, 1)) == 3
+    assert len(loads) == 1
+    assert opened(refresh="auto", released=datetime(2999, 1, 1)) == 3 and len(loads) == 2
+    assert opened(refresh=True) == 3 and len(loads) == 3
+    assert len(list((tmp_path / "data").iterdir())) == 1
+
+
 def test_only_datasets_of_the_store_can_be_removed(spark, tmp_path):
     with pytest.raises(ValueError, match="not part of the store"):
         St._remove_dataset(spark, str(tmp_path / "store"), str(tmp_path / "elsewhere"))
