@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from cube_queries.cubes import (
     catalog,
-    cube_of,
     cube_of_sql,
     orders_members,
     releases,

@@ -16,11 +16,10 @@ from cube_queries.cubes import (
     table,
     text,
 )
-from cube_queries.catalog import micros
 from cube_queries.members import NORMALIZED_SQL
 from cube_queries.registry import query, with_tables
 from statcube.functions import expressions as X
-from statcube.functions.names import names_for, quoted, rename_language
+from statcube.functions.names import names_for, rename_language
 from statcube.operators.reshape import wide_to_long
 from statcube.plans.pipelines import load_cube
 from statcube.sources import metadata_text as Mt

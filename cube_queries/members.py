@@ -12,8 +12,6 @@ from cube_queries.cubes import (
     orders_members,
     part_facts,
     part_members,
-    table,
-    text,
 )
 from cube_queries.registry import query, with_tables
 from statcube.functions import expressions as X
@@ -197,7 +195,7 @@ NORMALIZED_SQL = f"""SELECT * REPLACE (regexp_replace("Priority", ' \\[.+\\]$',
 
 @query(
     "normalize_cube",
-    with_tables(["orders_facts", "orders_members"], f"SELECT * EXCLUDE (rank_geo) FROM ({NORMALIZED_SQL.replace('rank_geo::INT AS', 'rank_geo::INT AS')})"),
+    with_tables(["orders_facts", "orders_members"], f"SELECT * EXCLUDE (rank_geo) FROM ({NORMALIZED_SQL})"),
 )
 def normalized(spark, folder):
     return normalize_cube(orders_facts(spark, folder), orders_meta(spark, folder))

@@ -99,8 +99,8 @@ def describe_cube(
     own, n_members = materialize_counted(members.filter(F.col(CUBE_ID) == cube_id), "members")
     small = n_members <= broadcast_rows
     key = [CUBE_ID, "dim_id", "member_id"]
-    levels = category_levels(dedupe_members(own), small).drop("member_name")
-    ready = materialize(lookup_join(build_hierarchy(own), levels, key, bounded=small), "members")
+    levels = category_levels(dedupe_members(own, n_members), small).drop("member_name")
+    ready = materialize(lookup_join(build_hierarchy(own, n_members), levels, key, bounded=small), "members")
     rows = (
         ready.groupBy("dim_id", "dim_name")
         .agg(

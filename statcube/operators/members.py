@@ -38,25 +38,29 @@ def in_category_order(df: DataFrame, *columns: str) -> DataFrame:
     return df.orderBy(*[column(c + "__ord").asc_nulls_last() for c in columns])
 
 
-def build_hierarchy(members: DataFrame) -> DataFrame:
+def _written(df: DataFrame, label: str, n_rows: int | None) -> tuple[DataFrame, bool]:
+    """The frame as a written table, and whether it is small enough to broadcast.
+
+    ``n_rows`` tells that it is written already, and how many rows it has.
+    """
+    if n_rows is None:
+        df, n_rows = materialize_counted(df, label)
+    return df, n_rows <= BROADCAST_ROWS
+
+
+def build_hierarchy(members: DataFrame, n_written: int | None = None) -> DataFrame:
     """Add ``hierarchy``: the root-first dotted path of member ids.
 
     A parent id that is no member of its dimension is prepended once. Cycles and chains deeper
     than 100 keep the nearest 100 ancestors and raise a warning. Paths double in length per
     round, so seven rounds reach any allowed depth; each round joins only the members whose top
-    still has a parent.
+    still has a parent. ``n_written`` is the number of members if they are a written table.
     """
     key = list(DIMENSION_KEY)
-    state, n_members = materialize_counted(
-        members.select(
-            *key,
-            "member_id",
-            F.array("member_id").alias("path"),
-            F.col("parent_id").alias("above"),
-        ),
-        "hierarchy",
+    start = members.select(
+        *key, "member_id", F.array("member_id").alias("path"), F.col("parent_id").alias("above")
     )
-    bounded = n_members <= BROADCAST_ROWS
+    state, bounded = _written(start, "hierarchy", n_written)
     open_ends = 1
     for _ in range(math.ceil(math.log2(MAX_DEPTH + 1))):
         tops = state.select(
@@ -161,7 +165,7 @@ def _flag_duplicates(levels: DataFrame, bounded: bool) -> DataFrame:
     )
 
 
-def dedupe_members(members: DataFrame) -> DataFrame:
+def dedupe_members(members: DataFrame, n_written: int | None = None) -> DataFrame:
     """Unambiguous member names: ``cube_id, dim_id, member_id, level_name, original, member_name``.
 
     A name that occurs more than once in its dimension gets `` ==> <parent name>``, or
@@ -170,17 +174,14 @@ def dedupe_members(members: DataFrame) -> DataFrame:
     Geographies of census cubes are left as they are.
     """
     key = list(DIMENSION_KEY)
-    start, n_members = materialize_counted(
-        members.select(
-            *key,
-            "member_id",
-            F.col("member_name").alias("name"),
-            "member_name",
-            F.col("parent_id").alias("above"),
-        ),
-        "names",
+    start = members.select(
+        *key,
+        "member_id",
+        F.col("member_name").alias("name"),
+        "member_name",
+        F.col("parent_id").alias("above"),
     )
-    bounded = n_members <= BROADCAST_ROWS
+    start, bounded = _written(start, "names", n_written)
     flagged = _flag_duplicates(start, bounded).withColumn("original", ~F.col("clash"))
     levels, clashes = materialize_counted(flagged.drop("clash"), "names", F.col("duplicated"))
     for _ in range(MAX_RENAMES):
