@@ -17,9 +17,9 @@ from statcube.functions.names import (
     language_of,
     names_for,
 )
-from statcube.operators.joins import BROADCAST_ROWS, lookup_join, number_rows
+from statcube.operators.joins import fits_broadcast, lookup_join, number_rows
 from statcube.operators.members import build_hierarchy, category_levels, dedupe_members, member_order
-from statcube.sources.scratch import materialize, materialize_counted
+from statcube.sources.scratch import materialize, materialize_measured
 
 ORDER_SUFFIX = "__ord"
 _MEMBER = "__member"
@@ -93,14 +93,14 @@ class CubeMetadata:
 
 
 def describe_cube(
-    members: DataFrame, cube_id: str, language: str = "eng", broadcast_rows: int = BROADCAST_ROWS
+    members: DataFrame, cube_id: str, language: str = "eng", broadcast_rows: int | None = None
 ) -> CubeMetadata:
     """Prepare the members of a cube: paths, unambiguous names, order; measure their number."""
-    own, n_members = materialize_counted(members.filter(F.col(CUBE_ID) == cube_id), "members")
-    small = n_members <= broadcast_rows
+    own, size = materialize_measured(members.filter(F.col(CUBE_ID) == cube_id), "members")
+    small = fits_broadcast(size, broadcast_rows)
     key = [CUBE_ID, "dim_id", "member_id"]
-    levels = category_levels(dedupe_members(own, n_members), small).drop("member_name")
-    ready = materialize(lookup_join(build_hierarchy(own, n_members), levels, key, bounded=small), "members")
+    levels = category_levels(dedupe_members(own, small), small).drop("member_name")
+    ready = materialize(lookup_join(build_hierarchy(own, small), levels, key, bounded=small), "members")
     rows = (
         ready.groupBy("dim_id", "dim_name")
         .agg(
@@ -280,8 +280,8 @@ def attach_member_names(
     A member that is not in the metadata leaves NULL. ``categories`` adds ``<column>__ord``.
     """
     coordinate = names_for(language).coordinate
-    own, n_members = materialize_counted(members, "members")
-    bounded = n_members <= BROADCAST_ROWS
+    own, size = materialize_measured(members, "members")
+    bounded = fits_broadcast(size)
     labels = materialize(coordinate_names(own, language, bounded), "labels")
     # One row per dimension of the cubes at hand.
     fields = labels.select("dim_id", "field").distinct().orderBy("dim_id", "field").collect()

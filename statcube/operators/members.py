@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from statcube.functions import expressions as X
 from statcube.functions.names import column, names_for
-from statcube.operators.joins import BROADCAST_ROWS, lookup_join, number_rows
-from statcube.sources.scratch import materialize, materialize_counted
+from statcube.operators.joins import fits_broadcast, lookup_join, number_rows
+from statcube.sources.scratch import materialize, materialize_counted, materialize_measured
 
 DIMENSION_KEY = ("cube_id", "dim_id")
 MAX_DEPTH = 100
@@ -38,29 +38,30 @@ def in_category_order(df: DataFrame, *columns: str) -> DataFrame:
     return df.orderBy(*[column(c + "__ord").asc_nulls_last() for c in columns])
 
 
-def _written(df: DataFrame, label: str, n_rows: int | None) -> tuple[DataFrame, bool]:
+def _written(df: DataFrame, label: str, bounded: bool | None) -> tuple[DataFrame, bool]:
     """The frame as a written table, and whether it is small enough to broadcast.
 
-    ``n_rows`` tells that it is written already, and how many rows it has.
+    ``bounded`` tells that it comes from a table that is written and measured already.
     """
-    if n_rows is None:
-        df, n_rows = materialize_counted(df, label)
-    return df, n_rows <= BROADCAST_ROWS
+    if bounded is None:
+        df, size = materialize_measured(df, label)
+        bounded = fits_broadcast(size)
+    return df, bounded
 
 
-def build_hierarchy(members: DataFrame, n_written: int | None = None) -> DataFrame:
+def build_hierarchy(members: DataFrame, bounded: bool | None = None) -> DataFrame:
     """Add ``hierarchy``: the root-first dotted path of member ids.
 
     A parent id that is no member of its dimension is prepended once. Cycles and chains deeper
     than 100 keep the nearest 100 ancestors and raise a warning. Paths double in length per
     round, so seven rounds reach any allowed depth; each round joins only the members whose top
-    still has a parent. ``n_written`` is the number of members if they are a written table.
+    still has a parent. ``bounded`` is given if the members are a written, measured table.
     """
     key = list(DIMENSION_KEY)
     start = members.select(
         *key, "member_id", F.array("member_id").alias("path"), F.col("parent_id").alias("above")
     )
-    state, bounded = _written(start, "hierarchy", n_written)
+    state, bounded = _written(start, "hierarchy", bounded)
     open_ends = 1
     for _ in range(math.ceil(math.log2(MAX_DEPTH + 1))):
         tops = state.select(
@@ -165,7 +166,7 @@ def _flag_duplicates(levels: DataFrame, bounded: bool) -> DataFrame:
     )
 
 
-def dedupe_members(members: DataFrame, n_written: int | None = None) -> DataFrame:
+def dedupe_members(members: DataFrame, bounded: bool | None = None) -> DataFrame:
     """Unambiguous member names: ``cube_id, dim_id, member_id, level_name, original, member_name``.
 
     A name that occurs more than once in its dimension gets `` ==> <parent name>``, or
@@ -181,7 +182,7 @@ def dedupe_members(members: DataFrame, n_written: int | None = None) -> DataFram
         "member_name",
         F.col("parent_id").alias("above"),
     )
-    start, bounded = _written(start, "names", n_written)
+    start, bounded = _written(start, "names", bounded)
     flagged = _flag_duplicates(start, bounded).withColumn("original", ~F.col("clash"))
     levels, clashes = materialize_counted(flagged.drop("clash"), "names", F.col("duplicated"))
     for _ in range(MAX_RENAMES):

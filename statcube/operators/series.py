@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from statcube.functions import expressions as X
 from statcube.functions.names import CUBE_ID, column, names_for
-from statcube.operators.joins import BROADCAST_ROWS, SALTS, lookup_join, number_rows
+from statcube.operators.joins import SALTS, fits_broadcast, lookup_join, number_rows
 from statcube.operators.members import member_order
-from statcube.sources.scratch import materialize, materialize_counted
+from statcube.sources.scratch import materialize, materialize_measured
 
 BATCH_SIZE = 300
 ALL_PERIODS = 1_000_000
@@ -133,13 +133,13 @@ def latest_n(
 def select_coordinates(df: DataFrame, requests: DataFrame, language: str = "eng") -> DataFrame:
     """Latest periods of requested (cube, coordinate) series; coordinates may lack trailing zeros."""
     coordinate = names_for(language).coordinate
-    wanted, n_requests = materialize_counted(normalize_requests(requests), "requests")
+    wanted, size = materialize_measured(normalize_requests(requests), "requests")
     largest = wanted.agg(F.max("periods")).first()[0]
     lookup = wanted.select(
         CUBE_ID, X.strip_coordinate(F.col("COORDINATE")).alias("__series"), F.col("periods").alias("__periods")
     )
     keyed = df.withColumn("__series", X.strip_coordinate(column(coordinate)))
-    bounded = n_requests <= BROADCAST_ROWS
+    bounded = fits_broadcast(size)
     found = lookup_join(keyed, lookup, [CUBE_ID, "__series"], "inner", bounded=bounded)
     key = [CUBE_ID, "__series"]
     n = names_for(language)
@@ -197,8 +197,8 @@ def cube_template(
         own = own.filter((F.col("dim_name") != name) | condition)
     distinct = own.select("dim_id", "dim_name", "member_id", "member_name").distinct()
     order = [member_order(), F.col("member_id"), F.col("member_name")]
-    chosen, n_members = materialize_counted(distinct, "template")
-    bounded = n_members <= BROADCAST_ROWS
+    chosen, size = materialize_measured(distinct, "template")
+    bounded = fits_broadcast(size)
     numbered = materialize(number_rows(chosen, ["dim_id"], order, "n", bounded=bounded), "template")
     sizes = {r.dim_id: r["count"] for r in numbered.groupBy("dim_id").count().collect()}
     every = members.filter(F.col(CUBE_ID) == cube_id) if keep else numbered
@@ -210,14 +210,14 @@ def cube_template(
     result = spark.range(0, total, 1, int(tasks)).withColumnRenamed("id", "__i")
     stride = total
     for d in dimensions:
-        size = max(sizes.get(d.dim_id, 0), 1)
-        stride = max(stride // size, 1)
+        n = max(sizes.get(d.dim_id, 0), 1)
+        stride = max(stride // n, 1)
         lookup = numbered.filter(F.col("dim_id") == d.dim_id).select(
             F.col("n").alias("__n"),
             F.col("member_name").alias(d.dim_name),
             F.col("member_id").alias(f"__id{d.dim_id}"),
         )
-        keyed = result.withColumn("__n", F.expr(f"CAST((__i div {stride}) % {size} AS INT) + 1"))
+        keyed = result.withColumn("__n", F.expr(f"CAST((__i div {stride}) % {n} AS INT) + 1"))
         result = lookup_join(keyed, lookup, ["__n"], "inner", bounded=bounded).drop("__n")
     ids = [F.col(f"__id{d.dim_id}") for d in dimensions]
     return result.select(

@@ -90,9 +90,10 @@ def parse_cube_metadata(spark: SparkSession, path: str, language: str = "eng") -
         rows = titled.filter(condition).select(
             "file", fields("title").alias("names"), F.posexplode("records").alias("pos", "record")
         )
+        # Columns without a header are dropped; of repeated headers the first counts.
         pairs = F.filter(
             F.zip_with("names", fields("record"), lambda k, v: F.struct(k.alias("key"), v.alias("value"))),
-            lambda pair: pair["key"].isNotNull(),
+            lambda c, i: c["key"].isNotNull() & (F.array_position("names", c["key"]) == i + 1),
         )
         return rows.filter("pos > 0").select("file", "pos", F.map_from_entries(pairs).alias("fields"))
 

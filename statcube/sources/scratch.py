@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -39,14 +40,40 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def materialize_counted(
-    df: DataFrame, label: str, condition: Column | None = None
-) -> tuple[DataFrame, int]:
-    """Write a frame and count its rows (that meet a condition) in the same job.
+@dataclass(frozen=True)
+class Size:
+    """Measured rows and text bytes of a written table."""
 
-    A task that is retried may be counted again, so use the number as an upper bound.
+    rows: int
+    bytes: int
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: the length of texts and of nested values as text, 8 for anything else."""
+    total = F.lit(0).cast("bigint")
+    for name, kind in df.dtypes:
+        c = F.col("`" + name.replace("`", "``") + "`")
+        if kind == "string" or kind.startswith(("array", "map", "struct")):
+            total = total + F.coalesce(F.octet_length(c.cast("string")), F.lit(0))
+        else:
+            total = total + 8
+    return total
+
+
+def materialize_measured(df: DataFrame, label: str) -> tuple[DataFrame, Size]:
+    """Write a frame and measure it in the same job.
+
+    A task that is retried may be measured again, so the size is an upper bound.
     """
-    counted = Observation()
-    what = F.count(F.lit(1)) if condition is None else F.count_if(condition)
-    written = materialize(df.observe(counted, what.alias("n")), label)
-    return written, int(counted.get.get("n") or 0)
+    seen = Observation()
+    measured = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes"))
+    written = materialize(measured, label)
+    values = seen.get
+    return written, Size(int(values.get("rows") or 0), int(values.get("bytes") or 0))
+
+
+def materialize_counted(df: DataFrame, label: str, condition: Column) -> tuple[DataFrame, int]:
+    """Write a frame and count the rows that meet a condition in the same job."""
+    seen = Observation()
+    written = materialize(df.observe(seen, F.count_if(condition).alias("n")), label)
+    return written, int(seen.get.get("n") or 0)

@@ -32,12 +32,7 @@ def spark():
 @pytest.fixture
 def unbounded(monkeypatch):
     """Measure every lookup as too large to broadcast and every group as too large for a task."""
-    import statcube.operators.enrich as enrich
     import statcube.operators.joins as joins
-    import statcube.operators.members as members
-    import statcube.operators.series as series
 
-    for module in (joins, enrich, members, series):
-        if hasattr(module, "BROADCAST_ROWS"):
-            monkeypatch.setattr(module, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", -1)
     monkeypatch.setattr(joins, "GROUP_ROWS", 0)

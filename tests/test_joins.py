@@ -1,7 +1,9 @@
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from statcube.operators import joins
 from statcube.operators.joins import lookup_join, number_rows
+from statcube.sources.scratch import materialize_measured
 
 
 def rows(df):
@@ -44,3 +46,22 @@ def test_row_numbers_over_ranges_equal_a_window(spark):
     split = number_rows(df, ["k"], [F.desc("id")], "n", group_rows=0)
     assert rows(split) == rows(plain)
     assert rows(number_rows(df, ["k"], [F.desc("id")], "n")) == rows(plain)
+
+
+def test_lookups_are_measured_by_rows_and_bytes(spark):
+    texts = spark.range(10).select("id", F.repeat(F.lit("x"), 1000).alias("text"))
+    _, size = materialize_measured(texts, "texts")
+    assert size.rows == 10 and size.bytes == 10 * 1008
+    assert joins.fits_broadcast(size) and not joins.fits_broadcast(size, 9)
+
+
+def test_wide_lookups_are_not_broadcast(spark, monkeypatch):
+    left = hot_frame(spark)
+    right = left.select("k").distinct().withColumn("text", F.lit("some text"))
+    plain = rows(left.join(right, ["k"], "left"))
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 10)
+    plan = lookup_join(left, right, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in plan
+    assert rows(lookup_join(left, right, ["k"])) == plain
+    monkeypatch.setattr(joins, "SALTED_BYTES", 10)
+    assert rows(lookup_join(left, right, ["k"])) == plain
