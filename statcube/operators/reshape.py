@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statcube.functions import expressions as X
-from statcube.functions.names import column, names_for
+from statcube.functions.names import column, names_for, quoted
 
 _SYMBOL = re.compile(r"^Symbol( \d+)*$")
 
@@ -83,7 +83,7 @@ def cube_pivot(df: DataFrame, key: str, value: str, levels: Sequence[str] | None
     Give the ``levels`` when they are known: otherwise Spark needs a job to find them.
     """
     rest = [c for c in df.columns if c not in (key, value)]
-    grouped = df.groupBy(*[column(c) for c in rest]).pivot(key, list(levels) if levels else None)
+    grouped = df.groupBy(*[column(c) for c in rest]).pivot(quoted(key), list(levels) if levels else None)
     cell = F.when(
         F.count(F.lit(1)) > 1, F.raise_error(F.lit("Several values for one cell")).cast(df.schema[value].dataType)
     ).otherwise(F.first(column(value)))

@@ -11,11 +11,12 @@ from statcube.functions import expressions as X
 from statcube.functions.names import rename_language
 from statcube.operators.analysis import diff_tables, missing_cells
 from statcube.operators.enrich import describe_cube, fold_in_metadata, order_categories
-from statcube.operators.reshape import wide_to_long
+from statcube.operators.members import categories_for_level
+from statcube.operators.reshape import cube_pivot, wide_to_long
 from statcube.plans.pipelines import normalize_cube, series_by_vector
 from statcube.sources.delimited import read_cube_csv
 from statcube.sources.scratch import scratch_path
-from statcube.sources.store import add_geo_uid, store_cube
+from statcube.sources.store import _laid_out, add_geo_uid, store_cube
 
 KEY = ["COORDINATE", "REF_DATE"]
 
@@ -94,3 +95,33 @@ def test_large_member_sets_give_the_same_facts(spark, unbounded):
     assert folded.count() == facts.count() and folded.filter(~F.coalesce(path, F.lit(False))).isEmpty()
     ordered = order_categories(facts.withColumn("Priority", X.strip_code(F.col("Priority"))), large)
     assert ordered.filter("Priority IS NULL OR GEO__ord IS NULL").isEmpty()
+
+
+def test_awkward_dimension_names(spark):
+    """Names with dots, brackets, commas and quotes go through every step."""
+    odd = "Age. group [x], 'y' = z"
+    schema = "cube_id string, dim_id int, dim_name string, member_id string, member_name string, parent_id string, code string"
+    members = spark.createDataFrame(
+        [("20-10-0001", 1, odd, "1", "All", None, None), ("20-10-0001", 1, odd, "2", "Old", "1", "[b]"),
+         ("20-10-0001", 1, odd, "3", "All", "1", None)], schema,
+    )
+    facts = spark.createDataFrame(
+        [("2020", "All", "1", "5", "0"), ("2020", "Old [b]", "2", "2", "3"), ("2020", "All", "3", "1", "0")],
+        f"REF_DATE string, `{odd}` string, COORDINATE string, VALUE string, SCALAR_ID string",
+    )
+    stored = store_cube(facts, scratch_path(spark, "store"), "20-10-0001", partition_by=[odd], cluster_by=["COORDINATE"])
+    for limit in (None, -1):
+        meta = describe_cube(members, "20-10-0001", broadcast_rows=limit)
+        cube = normalize_cube(stored, meta).orderBy("COORDINATE").collect()
+        assert [(r[odd], r[f"{odd}__ord"], r.val_norm) for r in cube] == [
+            ("All [1]", 1, 5.0), ("Old", 2, 2000.0), ("All ==> All", 3, 1.0),
+        ]
+        assert [r[f"Hierarchy for {odd}"] for r in cube] == ["1", "1.2", "1.3"]
+    wide = cube_pivot(stored.filter("COORDINATE <> '3'").select("REF_DATE", f"`{odd}`", "VALUE"), odd, "VALUE", ["All", "Old [b]"])
+    assert wide.first().asDict() == {"REF_DATE": "2020", "All": 5.0, "Old [b]": 2.0}
+    assert categories_for_level(normalize_cube(stored, meta), odd, 1).count() == 2
+
+
+def test_partitioned_writes_are_rebalanced(spark):
+    laid_out = _laid_out(orders_facts(spark, SMALL), ["GEO"], ["COORDINATE"])
+    assert "REBALANCE" in laid_out._jdf.queryExecution().executedPlan().toString()
