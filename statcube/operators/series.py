@@ -103,16 +103,16 @@ def latest_n(
     value: str | None = "VALUE",
     largest: int | None = None,
 ) -> DataFrame:
-    """The last N periods with data of every series; None keeps all.
+    """The last N periods with data of every series; None keeps all rows as they are.
 
     ``n`` may be a column that differs by series; ``largest`` is then its known maximum. For N up
     to 1000 Spark drops all but N rows per series in every task before the shuffle. Beyond that
     a series is cut into pieces by its periods, each piece is reduced on its own, and only the
     remains of the pieces meet.
     """
-    present = df if value is None else df.filter(column(value).isNotNull())
     if n is None:
-        return present
+        return df
+    present = df if value is None else df.filter(column(value).isNotNull())
     newest = column(order).desc()
     limit = n if isinstance(n, Column) else F.lit(n)
     most = largest if isinstance(n, Column) else n
@@ -134,7 +134,8 @@ def select_coordinates(df: DataFrame, requests: DataFrame, language: str = "eng"
     """Latest periods of requested (cube, coordinate) series; coordinates may lack trailing zeros."""
     coordinate = names_for(language).coordinate
     wanted, size = materialize_measured(normalize_requests(requests), "requests")
-    largest = wanted.agg(F.max("periods")).first()[0]
+    fewest, largest = wanted.agg(F.min("periods"), F.max("periods")).first()
+    every = fewest is not None and fewest >= ALL_PERIODS
     lookup = wanted.select(
         CUBE_ID, X.strip_coordinate(F.col("COORDINATE")).alias("__series"), F.col("periods").alias("__periods")
     )
@@ -144,7 +145,8 @@ def select_coordinates(df: DataFrame, requests: DataFrame, language: str = "eng"
     key = [CUBE_ID, "__series"]
     n = names_for(language)
     value = n.value if n.value in df.columns else None
-    chosen = latest_n(found, F.col("__periods"), key, n.ref_date, value, largest)
+    periods = None if every else F.col("__periods")
+    chosen = latest_n(found, periods, key, n.ref_date, value, largest)
     return chosen.select(*[column(c) for c in df.columns])
 
 

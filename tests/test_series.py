@@ -37,7 +37,7 @@ def test_latest_periods_with_data(spark, monkeypatch, limit):
     assert years(S.latest_n(observations(spark), 2)) == [
         ("v1", "2013"), ("v1", "2014"), ("v10", "2014"), ("v10", "2015"), ("v12", "2014"), ("v12", "2015"),
     ]
-    assert S.latest_n(observations(spark)).count() == 17
+    assert S.latest_n(observations(spark)).count() == 18
 
 
 def test_latest_n_is_cut_before_the_shuffle(spark):
@@ -64,6 +64,12 @@ def test_requests(spark):
     assert implied == {"1.14.0.0.0.0.0.0.0.0": None, "2.0.0.0.0.0.0.0.0.0": 0.0}
 
 
+def test_requests_for_all_periods_need_no_window(spark):
+    found, missing = series_by_coordinate(observations(spark), members(spark), {CUBE: ["1.1", "1.12"]})
+    assert found.count() == 12 and missing.count() == 0
+    assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_names_are_attached_with_numbers_for_repeats(spark):
     found, _ = series_by_coordinate(observations(spark), members(spark), {CUBE: ["1.10", "1.12", "1.1"]}, 1)
     assert sorted((r.COORDINATE, r.GEO, r.Kind) for r in found.collect()) == [
