@@ -6,6 +6,7 @@ what follows. The folder is the one the cluster names in ``spark.checkpoint.dir`
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from dataclasses import dataclass
@@ -20,7 +21,7 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(_SETTING, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local($|\[)", spark.sparkContext.master):
         raise ValueError(f"Set {_SETTING} to a folder that all executors share")
     root = tempfile.mkdtemp(prefix="statcube-")
     spark.conf.set(_SETTING, root)
