@@ -6,10 +6,10 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statcube.llm import exact_dedup, quality_rules, url_filters
+from statcube.llm import bpe, exact_dedup, packing, quality_rules, url_filters
 from statcube.llm.shared import Query, ship_package
 
-_MODULES = (quality_rules, exact_dedup, url_filters)
+_MODULES = (quality_rules, packing, exact_dedup, bpe, url_filters)
 
 
 def shipped(fn: Query) -> Query:
