@@ -24,7 +24,7 @@ UNKNOWN = "und"
 SAMPLE_ROWS = 2500
 BUCKETS = 4096
 #: Below this confidence a prediction is flagged as ambiguous.
-CLEAR_SCORE = 0.6
+CLEAR_SCORE = 0.5
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 

@@ -42,11 +42,12 @@ class LibraryWords:
     Only texts of ASCII and Latin letters are cut into words here; others, and special tokens, go whole to the library.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, specials_as_text: bool = False):
         from tokenizers import Tokenizer
 
         one_thread()
         self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer.encode_special_tokens = specials_as_text
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
         self._known: dict[str, bytes] = {}
@@ -67,8 +68,9 @@ class LibraryWords:
 
 
 @lru_cache(maxsize=2)
-def library_words(path: str) -> LibraryWords:
-    return LibraryWords(path)
+def library_words(path: str, specials_as_text: bool = False) -> LibraryWords:
+    """The encoder, once per Python worker."""
+    return LibraryWords(path, specials_as_text)
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

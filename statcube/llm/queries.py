@@ -6,10 +6,21 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statcube.llm import bpe, chat_format, exact_dedup, jaccard_join, language_id, packing, quality_classifier, quality_rules, url_filters
+from statcube.llm import (
+    bpe,
+    chat_format,
+    exact_dedup,
+    jaccard_join,
+    language_id,
+    packing,
+    quality_classifier,
+    quality_rules,
+    token_counts,
+    url_filters,
+)
 from statcube.llm.shared import Query, ship_package
 
-_MODULES = (quality_rules, packing, language_id, quality_classifier, exact_dedup, bpe, jaccard_join, chat_format, url_filters)
+_MODULES = (quality_rules, packing, token_counts, language_id, quality_classifier, exact_dedup, bpe, jaccard_join, chat_format, url_filters)
 
 
 def shipped(fn: Query) -> Query:
