@@ -34,7 +34,7 @@ from statcube.llm.shared import Query, one_thread, table, texts_of, tokenizer_fi
 
 TOKENIZER = "word_bpe_49k.json"
 #: Words and arcs that a task remembers; beyond that it starts anew, so memory stays bounded.
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 800_000
 REMEMBERED_ARCS = 500_000
 _NEVER = 1 << 60
 

@@ -51,6 +51,9 @@ class LibraryWords:
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
         self._known: dict[str, bytes] = {}
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends_word[[k for t, k in vocabulary.items() if t.endswith("</w>")]] = True
 
     def encode(self, text: str) -> bytes:
         if "<|" in text or not _PLAIN.fullmatch(text):
@@ -61,11 +64,20 @@ class LibraryWords:
         except KeyError:
             if len(self._known) > REMEMBERED_WORDS:
                 self._known.clear()
-            new = [w for w in set(words) if w not in self._known]
-            found = self._tokenizer.encode_batch(new, add_special_tokens=False)
-            self._known.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(new, found))
+            self._learn([w for w in set(words) if w not in self._known])
             return b"".join(map(self._known.__getitem__, words))
 
+    def _learn(self, new: list[str]) -> None:
+        """New words go to the library in one text; each ends with the one token that marks a word's end."""
+        ids = np.asarray(self._tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self._ends_word[ids]) + 1
+        if len(ends) != len(new):
+            raise ValueError("Words and word ends differ")
+        start, raw = 0, ids.tobytes()
+        for word, end in zip(new, (4 * ends).tolist()):
+            self._known[word] = raw[start:end]
+            start = end
+
 
 @lru_cache(maxsize=2)
 def library_words(path: str, specials_as_text: bool = False) -> LibraryWords:
