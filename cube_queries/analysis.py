@@ -142,14 +142,13 @@ def share_of_total(spark, folder):
     with_tables(
         ["orders_facts"],
         """SELECT "VECTOR", "REF_DATE", "VALUE", first AS first_value,
-             CASE WHEN first <> 0 THEN "VALUE" / first - 1 END AS change
-           FROM (SELECT *, first_value("VALUE") OVER (PARTITION BY "VECTOR" ORDER BY "REF_DATE") AS first FROM orders_facts)
-           WHERE "Statistic" <> 'Share with status F' """,
+             "VALUE" / nullif(first, 0) - 1 AS change
+           FROM (SELECT *, first_value("VALUE") OVER (PARTITION BY "VECTOR" ORDER BY "REF_DATE") AS first FROM orders_facts)""",
     ),
 )
 def index_to_base(spark, folder):
-    facts = orders_facts(spark, folder).filter("Statistic <> 'Share with status F'")
-    return A.index_to_base(facts, ["VECTOR"], "VALUE", "REF_DATE", "change").select(
+    """Over all series; those that begin with zero have no index."""
+    return A.index_to_base(orders_facts(spark, folder), ["VECTOR"], "VALUE", "REF_DATE", "change").select(
         "VECTOR", "REF_DATE", "VALUE", "first_value", "change"
     )
 
@@ -192,12 +191,14 @@ def topk_rest(spark, folder):
     "diff_tables",
     with_tables(
         ["orders_facts"],
-        """SELECT count(*) FILTER (WHERE "Statistic" = 'Value' AND "VALUE" <> 0)::BIGINT AS "VALUE",
-                  0::BIGINT AS "UOM", 0::BIGINT AS "SCALAR_FACTOR" FROM orders_facts""",
+        """SELECT count(*) FILTER (WHERE "Statistic" = 'Value' AND "VALUE" <> 0 AND "REF_DATE" <> '1995-01')::BIGINT AS "VALUE",
+                  0::BIGINT AS "UOM", 0::BIGINT AS "SCALAR_FACTOR",
+                  count(*) FILTER (WHERE "REF_DATE" = '1995-01')::BIGINT AS only_left, 0::BIGINT AS only_right
+           FROM orders_facts""",
     ),
 )
 def diff_tables(spark, folder):
-    """Raw values against values in units: only scaled ones differ."""
+    """Raw values against values in units, which lack a month: only scaled ones differ."""
     raw = orders_facts(spark, folder).select("VECTOR", "REF_DATE", "VALUE", "UOM", "SCALAR_FACTOR", "SCALAR_ID")
     scaled = raw.withColumns(
         {
@@ -206,7 +207,7 @@ def diff_tables(spark, folder):
         }
     ).drop("SCALAR_ID")
     trimmed = raw.withColumn("SCALAR_FACTOR", F.rtrim("SCALAR_FACTOR"))
-    return A.diff_tables(trimmed, scaled, ["VECTOR", "REF_DATE"])
+    return A.diff_tables(trimmed, scaled.filter("REF_DATE <> '1995-01'"), ["VECTOR", "REF_DATE"])
 
 
 @query(

@@ -74,14 +74,13 @@ def csv_french(spark, folder):
               CASE lang WHEN 'en' THEN NULL ELSE lang END AS lang FROM documents""",
 )
 def csv_null_tokens(spark, folder):
-    """Whole texts with quotes, but on one line each; English is written as a null token."""
+    """Whole texts with quotes and line breaks; English is written as a null token."""
     docs = table(spark, folder, "documents").select(
         "doc_id",
-        F.regexp_replace("text", r"[\r\n]", "␤").alias("text"),
+        "text",
         F.when(F.col("lang") == "en", F.lit("F")).otherwise(F.col("lang")).alias("lang"),
     )
-    back = read_cube_csv(spark, land_csv(docs))
-    return back.withColumn("text", F.regexp_replace("text", "␤", "\n"))
+    return read_cube_csv(spark, land_csv(docs), multi_line=True)
 
 
 @query(
@@ -550,7 +549,6 @@ def release_schedule(spark, folder):
 def json_releases(spark, folder):
     """Field of a JSON column, summed per cube and kind of release."""
     events = table(spark, folder, "events")
-    log = releases(spark, folder)
     k = F.from_json("props", "k bigint")["k"]
     return (
         events.select(
@@ -558,5 +556,4 @@ def json_releases(spark, folder):
         )
         .groupBy("cube_id", "event_type")
         .agg(F.sum("k").alias("k"))
-        .join(log.select("cube_id", "event_type").distinct(), ["cube_id", "event_type"], "left_semi")
     )

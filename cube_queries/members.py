@@ -49,7 +49,7 @@ def build_hierarchy(spark, folder):
     "dimension_list",
     with_tables(
         ["orders_members"],
-        'SELECT DISTINCT dim_id AS "Dimension ID", dim_name AS "Dimension name" FROM orders_members',
+        'SELECT DISTINCT cube_id, dim_id AS "Dimension ID", dim_name AS "Dimension name" FROM orders_members',
     ),
 )
 def dimension_list(spark, folder):
@@ -60,7 +60,7 @@ def dimension_list(spark, folder):
     "member_list",
     with_tables(
         ["orders_members"],
-        """SELECT dim_id AS "Dimension ID", dim_name AS "Dimension name", m.member_id AS "Member ID",
+        """SELECT cube_id, dim_id AS "Dimension ID", dim_name AS "Dimension name", m.member_id AS "Member ID",
                   member_name AS "Member Name", parent_id AS "Parent Member ID",
                   CASE WHEN parent_id IS NULL THEN member_id
                        WHEN parent_id = '1' THEN '1.' || member_id

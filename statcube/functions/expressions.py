@@ -140,9 +140,12 @@ def bare_cube_id(c: Column) -> Column:
 
 
 def clean_cube_id(c: Column) -> Column:
-    """``AA-BB-CCCC`` of a current id, with or without dashes and derived-table suffix."""
+    """``AA-BB-CCCC`` of a current id, with or without dashes and derived-table suffix.
+
+    An id of the old numbering has no such form and gives NULL; ``legacy_ids`` maps those.
+    """
     d = bare_cube_id(c)
-    return F.concat_ws("-", F.substring(d, 1, 2), F.substring(d, 3, 2), F.substring(d, 5, 4))
+    return F.when(~is_legacy_id(c), F.concat_ws("-", F.substring(d, 1, 2), F.substring(d, 3, 2), F.substring(d, 5, 4)))
 
 
 def is_legacy_id(c: Column) -> Column:

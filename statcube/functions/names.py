@@ -192,6 +192,7 @@ def rename_language(df: DataFrame, from_language: str, to_language: str) -> Data
 def canonical_columns(columns: list[str], language: str) -> list[str]:
     """The published order: time and place, dimensions, value and attributes, metadata."""
     n = names_for(language)
+    # --- fixed values: published order of the columns
     head = ["REF_DATE", n.ref_date, DATE, "REF_DATE2", n.geo, "DGUID", GEO_UID]
     tail = [
         n.value,
@@ -210,6 +211,7 @@ def canonical_columns(columns: list[str], language: str) -> list[str]:
         "TERMINATED",
         "DECIMALS",
     ]
+    # --- end of fixed values
     present = set(columns)
     first = [c for c in dict.fromkeys(head) if c in present]
     third = [c for c in tail if c in present]

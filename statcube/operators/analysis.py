@@ -32,16 +32,16 @@ def annualize_complete(df: DataFrame, keys: Sequence[str], value: str, periods:
 def share_of_total(
     df: DataFrame, totals: DataFrame, keys: Sequence[str], value: str, total: str = "Total", share: str = "Share"
 ) -> DataFrame:
-    """Attach the total of the row's keys and divide by it."""
+    """Attach the total of the row's keys and divide by it; a share of a zero total is NULL."""
     return lookup_join(df, totals.select(*[column(k) for k in keys], column(total)), keys).withColumn(
-        share, column(value) / column(total)
+        share, F.try_divide(column(value), column(total))
     )
 
 
 def index_to_base(
     df: DataFrame, keys: Sequence[str], value: str, period: str = "Date", name: str = "index"
 ) -> DataFrame:
-    """Change against the first period of the group: ``value / first - 1``.
+    """Change against the first period of the group: ``value / first - 1``, NULL if the first is zero.
 
     The first value is an aggregate that is combined before the shuffle, so no group has to be
     sorted in one task.
@@ -50,7 +50,7 @@ def index_to_base(
         F.min_by(column(value), column(period)).alias("first_value")
     )
     joined = lookup_join(df, first, keys)
-    return joined.withColumn(name, column(value) / F.col("first_value") - 1)
+    return joined.withColumn(name, F.try_divide(column(value), F.col("first_value")) - 1)
 
 
 def top_k_ties(df: DataFrame, k: int, by: str) -> DataFrame:
@@ -79,16 +79,26 @@ def top_k_rest(
 
 
 def diff_tables(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Number of differing cells per common column; missing values do not count as different."""
+    """Number of differing cells per common column; missing values do not count as different.
+
+    ``only_left`` and ``only_right`` count the rows whose keys the other side lacks. Keys must not be NULL.
+    """
     compared = [c for c in left.columns if c in right.columns and c not in keys]
-    a = left.select(*[column(k) for k in keys], *[column(c).alias(f"__l{i}") for i, c in enumerate(compared)])
-    b = right.select(*[column(k) for k in keys], *[column(c).alias(f"__r{i}") for i, c in enumerate(compared)])
-    joined = a.join(b, list(keys), "inner")
+    here = F.lit(True)
+    a = left.select(
+        *[column(k) for k in keys], here.alias("__l"), *[column(c).alias(f"__l{i}") for i, c in enumerate(compared)]
+    )
+    b = right.select(
+        *[column(k) for k in keys], here.alias("__r"), *[column(c).alias(f"__r{i}") for i, c in enumerate(compared)]
+    )
+    joined = a.join(b, list(keys), "full")
     return joined.agg(
         *[
             F.count_if(F.col(f"__l{i}") != F.col(f"__r{i}")).alias(c)
             for i, c in enumerate(compared)
-        ]
+        ],
+        F.count_if(F.col("__r").isNull()).alias("only_left"),
+        F.count_if(F.col("__l").isNull()).alias("only_right"),
     )
 
 

@@ -196,15 +196,18 @@ def changed_cubes(
 ) -> DataFrame:
     """Releases between two dates (both included, in either order).
 
+    Days are the publisher's: of a release time that is an instant, the days begin at midnight of the publisher's zone.
+
     A start after the last available date is rejected, an end after it is capped.
     """
     limit = last_available_date(now or datetime.now(ZoneInfo(X.PUBLISHER_ZONE)))
     if start > limit:
-        raise ValueError(f"Last available date is {limit}, start on or before that date.")
+        raise ValueError(f"Nothing is published after {limit}; the start {start} is later")
     until = min(end or start, limit)
     first, last = min(start, until), max(start, until)
     kind = dict(releases.dtypes)["releaseTime"]
     # Bounds on the raw column, so that they reach the scan.
-    from_time = F.lit(first.isoformat()).cast(kind)
-    to_time = F.lit((last + timedelta(days=1)).isoformat()).cast(kind)
+    zone = f" 00:00:00 {X.PUBLISHER_ZONE}" if kind == "timestamp" else ""
+    from_time = F.lit(first.isoformat() + zone).cast(kind)
+    to_time = F.lit((last + timedelta(days=1)).isoformat() + zone).cast(kind)
     return releases.filter((F.col("releaseTime") >= from_time) & (F.col("releaseTime") < to_time))

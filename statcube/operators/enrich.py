@@ -151,7 +151,7 @@ def _metadata_targets(
         dimension = meta.dimension(name)
         field = data_column(name, columns, meta.language)
         if dimension is None or field is None:
-            warnings.warn(f"Don't know how to add metadata for {name}! Ignoring this dimension.")
+            warnings.warn(f"Dimension {name} is left out: the cube or its metadata lacks it")
             continue
         if field == name:
             targets = {"code": n.code_for(name), "hierarchy": n.hierarchy_for(name)}
@@ -277,10 +277,12 @@ def attach_member_names(
 ) -> DataFrame:
     """Member-name columns for (cube, coordinate) rows of any cubes, one join per dimension.
 
-    A member that is not in the metadata leaves NULL. ``categories`` adds ``<column>__ord``.
+    Only dimensions of cubes that occur in the data give columns. A member that is not in the metadata leaves
+    NULL. ``categories`` adds ``<column>__ord``.
     """
     coordinate = names_for(language).coordinate
-    own, size = materialize_measured(members, "members")
+    at_hand = members.join(df.select(CUBE_ID).distinct(), CUBE_ID, "left_semi")
+    own, size = materialize_measured(at_hand, "members")
     bounded = fits_broadcast(size)
     labels = materialize(coordinate_names(own, language, bounded), "labels")
     # One row per dimension of the cubes at hand.

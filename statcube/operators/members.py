@@ -6,7 +6,6 @@ Members of any number of cubes and dimensions are handled together. Working colu
 
 from __future__ import annotations
 
-import math
 import warnings
 from collections.abc import Iterable
 
@@ -19,8 +18,6 @@ from statcube.operators.joins import fits_broadcast, lookup_join, number_rows
 from statcube.sources.scratch import materialize, materialize_counted, materialize_measured
 
 DIMENSION_KEY = ("cube_id", "dim_id")
-MAX_DEPTH = 100
-MAX_RENAMES = 30
 
 
 def member_order(name: str = "member_id") -> Column:
@@ -52,18 +49,22 @@ def _written(df: DataFrame, label: str, bounded: bool | None) -> tuple[DataFrame
 def build_hierarchy(members: DataFrame, bounded: bool | None = None) -> DataFrame:
     """Add ``hierarchy``: the root-first dotted path of member ids.
 
-    A parent id that is no member of its dimension is prepended once. Cycles and chains deeper
-    than 100 keep the nearest 100 ancestors and raise a warning. Paths double in length per
-    round, so seven rounds reach any allowed depth; each round joins only the members whose top
+    A parent id that is no member of its dimension is prepended once. A path that runs into a
+    cycle ends where an ancestor would come up again, with a warning. Paths double in length per
+    round, until no path has a parent above it; each round joins only the members whose top
     still has a parent. ``bounded`` is given if the members are a written, measured table.
     """
     key = list(DIMENSION_KEY)
     start = members.select(
-        *key, "member_id", F.array("member_id").alias("path"), F.col("parent_id").alias("above")
+        *key,
+        "member_id",
+        F.array("member_id").alias("path"),
+        F.col("parent_id").alias("above"),
+        F.lit(False).alias("cyclic"),
     )
     state, bounded = _written(start, "hierarchy", bounded)
     open_ends = 1
-    for _ in range(math.ceil(math.log2(MAX_DEPTH + 1))):
+    while open_ends:
         tops = state.select(
             *key,
             F.col("member_id").alias("above"),
@@ -73,22 +74,26 @@ def build_hierarchy(members: DataFrame, bounded: bool | None = None) -> DataFram
         # A small set is joined as a whole; of a large one only the members that still grow.
         above = F.col("above")
         growing = state if bounded else state.filter(above.isNotNull())
-        longer = F.concat(F.coalesce("top_path", F.array(above)), F.col("path"))
-        grown = lookup_join(growing, tops, [*key, "above"], bounded=bounded).select(
-            *key,
-            "member_id",
-            F.when(above.isNull(), F.col("path")).otherwise(longer).alias("path"),
-            F.col("next_above").alias("above"),
+        # The part of the top's path that is nearer than any id that the path holds already.
+        top = F.coalesce("top_path", F.array(above))
+        again = F.array_max(F.transform(top, lambda m, i: F.when(F.array_contains("path", m), i + 1).otherwise(0)))
+        nearer = F.slice(top, F.col("again") + 1, F.size(top))
+        grown = (
+            lookup_join(growing, tops, [*key, "above"], bounded=bounded)
+            .withColumn("again", F.when(above.isNull(), F.lit(0)).otherwise(again))
+            .select(
+                *key,
+                "member_id",
+                F.when(above.isNull(), F.col("path")).otherwise(F.concat(nearer, "path")).alias("path"),
+                F.when(F.col("again") == 0, F.col("next_above")).alias("above"),
+                (F.col("cyclic") | (F.col("again") > 0)).alias("cyclic"),
+            )
         )
         merged = grown if bounded else state.filter(above.isNull()).unionByName(grown)
         state, open_ends = materialize_counted(merged, "hierarchy", above.isNotNull())
-        if not open_ends:
-            break
-    if open_ends:
-        warnings.warn("Exceeded max depth for hierarchy, hierarchy information may be faulty.")
-    size = F.size("path")
-    kept = F.slice("path", F.greatest(F.lit(1), size - MAX_DEPTH), F.lit(MAX_DEPTH + 1))
-    paths = state.select(*key, "member_id", F.array_join(kept, ".").alias("hierarchy"))
+    if not state.filter("cyclic").isEmpty():
+        warnings.warn("Some members are their own ancestors; their paths end where the cycle closes.")
+    paths = state.select(*key, "member_id", F.array_join("path", ".").alias("hierarchy"))
     return lookup_join(members, paths, [*key, "member_id"], bounded=bounded)
 
 
@@ -101,21 +106,22 @@ def add_member_labels(members: DataFrame) -> DataFrame:
 
 
 def cube_dimensions(members: DataFrame, language: str = "eng") -> DataFrame:
-    """Distinct dimensions of a cube under their published headings."""
+    """Distinct dimensions of every cube under their published headings."""
     n = names_for(language)
     return members.select(
-        F.col("dim_id").alias(n.dimension_id), F.col("dim_name").alias(n.dimension_name)
+        "cube_id", F.col("dim_id").alias(n.dimension_id), F.col("dim_name").alias(n.dimension_name)
     ).distinct()
 
 
 def cube_members(members: DataFrame, dimension: str, language: str = "eng") -> DataFrame:
-    """Members of one dimension with their hierarchy, under published headings."""
+    """Members of one dimension of every cube with their hierarchy, under published headings."""
     n = names_for(language)
     chosen = members.filter(F.col("dim_name") == dimension)
     if chosen.isEmpty():
-        raise ValueError(f"Unknown column {dimension}")
+        raise ValueError(f"No cube has a dimension {dimension}")
     extra = [F.col("terminated").alias(n.terminated)] if "terminated" in members.columns else []
     return build_hierarchy(chosen).select(
+        "cube_id",
         F.col("dim_id").alias(n.dimension_id),
         F.col("dim_name").alias(n.dimension_name),
         F.col("member_id").alias(n.member_id),
@@ -171,8 +177,8 @@ def dedupe_members(members: DataFrame, bounded: bool | None = None) -> DataFrame
 
     A name that occurs more than once in its dimension gets `` ==> <parent name>``, or
     `` [id]`` at the root; counts are refreshed and the next ancestor is used until all names
-    are unique, at most 30 times. All rows of a round see the state of the round before.
-    Geographies of census cubes are left as they are.
+    are unique. All rows of a round see the state of the round before. A member whose id has been added has
+    nothing more to add; if names clash even so (repeated ids), a warning tells. Geographies of census cubes are left as they are.
     """
     key = list(DIMENSION_KEY)
     start = members.select(
@@ -181,20 +187,21 @@ def dedupe_members(members: DataFrame, bounded: bool | None = None) -> DataFrame
         F.col("member_name").alias("name"),
         "member_name",
         F.col("parent_id").alias("above"),
+        F.lit(False).alias("spent"),
     )
     start, bounded = _written(start, "names", bounded)
+    open_clash = F.col("duplicated") & ~F.col("spent")
     flagged = _flag_duplicates(start, bounded).withColumn("original", ~F.col("clash"))
-    levels, clashes = materialize_counted(flagged.drop("clash"), "names", F.col("duplicated"))
-    for _ in range(MAX_RENAMES):
-        if not clashes:
-            break
+    levels, clashes = materialize_counted(flagged.drop("clash"), "names", open_clash)
+    renamed_some = bool(clashes)
+    while clashes:
         ancestors = levels.select(
             *key,
             F.col("member_id").alias("above"),
             F.col("member_name").alias("above_name"),
             F.col("above").alias("next_above"),
         )
-        clash = F.col("duplicated")
+        clash = open_clash
         longer = F.coalesce(
             F.concat("name", F.lit(" ==> "), "above_name"),
             F.concat("name", F.lit(" ["), "member_id", F.lit("]")),
@@ -206,14 +213,17 @@ def dedupe_members(members: DataFrame, bounded: bool | None = None) -> DataFrame
                 {
                     "name": F.when(clash, longer).otherwise(F.col("name")),
                     "above": F.when(clash, F.col("next_above")).otherwise(F.col("above")),
+                    "spent": F.col("spent") | (clash & F.col("above_name").isNull()),
                 }
             )
             .drop("above_name", "next_above")
         )
         merged = renamed if bounded else levels.filter(~clash).unionByName(renamed)
         levels, clashes = materialize_counted(
-            _flag_duplicates(merged, bounded).drop("clash"), "names", F.col("duplicated")
+            _flag_duplicates(merged, bounded).drop("clash"), "names", open_clash
         )
+    if renamed_some and not levels.filter("duplicated").isEmpty():
+        warnings.warn("Some member names are ambiguous even with their ids.")
     return levels.select(
         *key, "member_id", F.col("name").alias("level_name"), "original", "member_name"
     )

@@ -29,17 +29,17 @@ def wide_to_long(df: DataFrame, language: str = "eng") -> DataFrame:
     if n.value in columns:
         return _numeric_value(df, n.value)
     if len(symbols) <= 1:
-        warnings.warn("Unknown table type")
+        warnings.warn("The columns are neither a long nor a semi-wide cube")
         return df
 
     shape = re.compile(rf"^(?P<dim>.+) (?P<kind>\({len(symbols)}[A-Za-z]*\)):(?P<name>.+)\[(?P<id>\d+)\]$")
     found = [(i, m) for i, c in enumerate(columns) if (m := shape.match(c))]
     if [i + 1 for i, _ in found] != symbols:
-        warnings.warn("Unable to identify dimensions")
+        warnings.warn("Value columns and symbol columns do not alternate")
         return df
     dimensions = {m["dim"] for _, m in found}
     if len(dimensions) != 1:
-        warnings.warn("Unable to identify dimension name")
+        warnings.warn("Value columns name several dimensions")
         return df
 
     dimension = f"{dimensions.pop()} {found[0][1]['kind']}"
@@ -80,9 +80,14 @@ def _numeric_value(df: DataFrame, value: str) -> DataFrame:
 def cube_pivot(df: DataFrame, key: str, value: str, levels: Sequence[str] | None = None) -> DataFrame:
     """Spread one dimension over columns; two values for one cell are an error.
 
-    Give the ``levels`` when they are known: otherwise Spark needs a job to find them.
+    Give the ``levels`` when they are known: otherwise Spark needs a job to find them. A row whose level
+    is missing or not among the given ones is an error, too: it would vanish without a trace.
     """
     rest = [c for c in df.columns if c not in (key, value)]
+    if levels:
+        unlisted = F.raise_error(F.concat(F.lit("Unlisted level: "), F.coalesce(column(key).cast("string"), F.lit("NULL"))))
+        listed = F.when(column(key).isin(list(levels)), column(key)).otherwise(unlisted.cast(df.schema[key].dataType))
+        df = df.withColumn(key, listed)
     grouped = df.groupBy(*[column(c) for c in rest]).pivot(quoted(key), list(levels) if levels else None)
     cell = F.when(
         F.count(F.lit(1)) > 1, F.raise_error(F.lit("Several values for one cell")).cast(df.schema[value].dataType)

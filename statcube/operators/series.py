@@ -16,7 +16,6 @@ from statcube.operators.members import member_order
 from statcube.sources.scratch import materialize, materialize_measured
 
 BATCH_SIZE = 300
-ALL_PERIODS = 1_000_000
 # Up to this N Spark cuts every task to the first N rows per series before the shuffle.
 GROUP_LIMIT = 1000
 
@@ -53,14 +52,15 @@ def request_frame(spark: SparkSession, requests: Mapping[str, Sequence[str]]) ->
 
 
 def normalize_requests(requests: DataFrame, periods: int | None = None) -> DataFrame:
-    """Requests with clean cube id, padded coordinate, census flag and number of periods."""
-    wanted = F.lit(ALL_PERIODS if periods is None else periods)
-    if "periods" in requests.columns:
-        wanted = F.coalesce(F.col("periods"), F.lit(ALL_PERIODS))
+    """Requests with clean cube id, padded coordinate, census flag and number of periods (NULL: all).
+
+    Of repeated requests the one for the most periods counts.
+    """
+    wanted = F.col("periods") if "periods" in requests.columns else F.lit(periods).cast("int")
     return requests.groupBy(
         X.clean_cube_id(F.col(CUBE_ID)).alias(CUBE_ID),
         X.pad_coordinate(F.col("COORDINATE")).alias("COORDINATE"),
-    ).agg(F.max(wanted).cast("int").alias("periods")).withColumn(
+    ).agg(F.when(F.count_if(wanted.isNull()) == 0, F.max(wanted)).cast("int").alias("periods")).withColumn(
         "is_census", X.is_census_cube(F.col(CUBE_ID))
     )
 
@@ -76,7 +76,8 @@ def series_range(
     """Reference periods in [start, end], both ends included, compared as dates.
 
     The bounds also go to the scan as text: a period of any shape starts with a year, at most
-    one before the year of its date.
+    one before the year of its date. With a bound, periods of unknown shape, which have no date, are
+    outside; ``undated_periods`` gives these rows.
     """
     result = df
     ref = column(column_name)
@@ -90,9 +91,28 @@ def series_range(
     return result
 
 
-def release_range(df: DataFrame, start: datetime, end: datetime, column_name: str = "releaseTime") -> DataFrame:
-    """Rows released between two instants."""
-    return df.filter(column(column_name).between(F.lit(start), F.lit(end)))
+def undated_periods(df: DataFrame, column_name: str = "REF_DATE") -> DataFrame:
+    """Rows that no range of reference periods holds, as their period has no date."""
+    return df.filter(X.reference_date(column(column_name), "01", "01").isNull())
+
+
+def release_range(
+    df: DataFrame, start: datetime | None = None, end: datetime | None = None, column_name: str = "releaseTime"
+) -> DataFrame:
+    """Rows released between two instants, both included; a bound that is not given does not limit.
+
+    A release time that is text is wall-clock time of the publisher and is read as such. Rows without
+    a release time are outside any bound.
+    """
+    time = column(column_name)
+    if dict(df.dtypes)[column_name] == "string":
+        time = X.release_instant(time)
+    result = df
+    if start is not None:
+        result = result.filter(time >= F.lit(start))
+    if end is not None:
+        result = result.filter(time <= F.lit(end))
+    return result
 
 
 def latest_n(
@@ -131,22 +151,30 @@ def latest_n(
 
 
 def select_coordinates(df: DataFrame, requests: DataFrame, language: str = "eng") -> DataFrame:
-    """Latest periods of requested (cube, coordinate) series; coordinates may lack trailing zeros."""
+    """Latest periods of requested (cube, coordinate) series; coordinates may lack trailing zeros.
+
+    A request without a number of periods gets all rows of its series as they are, whatever other requests ask for.
+    """
     coordinate = names_for(language).coordinate
     wanted, size = materialize_measured(normalize_requests(requests), "requests")
-    fewest, largest = wanted.agg(F.min("periods"), F.max("periods")).first()
-    every = fewest is not None and fewest >= ALL_PERIODS
+    unlimited, largest = wanted.agg(F.count_if(F.col("periods").isNull()), F.max("periods")).first()
     lookup = wanted.select(
         CUBE_ID, X.strip_coordinate(F.col("COORDINATE")).alias("__series"), F.col("periods").alias("__periods")
     )
     keyed = df.withColumn("__series", X.strip_coordinate(column(coordinate)))
     bounded = fits_broadcast(size)
-    found = lookup_join(keyed, lookup, [CUBE_ID, "__series"], "inner", bounded=bounded)
     key = [CUBE_ID, "__series"]
     n = names_for(language)
     value = n.value if n.value in df.columns else None
-    periods = None if every else F.col("__periods")
-    chosen = latest_n(found, periods, key, n.ref_date, value, largest)
+    parts = []
+    if unlimited or largest is None:
+        whole = lookup.filter(F.col("__periods").isNull())
+        parts.append(lookup_join(keyed, whole, key, "inner", bounded=bounded))
+    if largest is not None:
+        limited = lookup.filter(F.col("__periods").isNotNull())
+        found = lookup_join(keyed, limited, key, "inner", bounded=bounded)
+        parts.append(latest_n(found, F.col("__periods"), key, n.ref_date, value, largest))
+    chosen = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return chosen.select(*[column(c) for c in df.columns])
 
 
@@ -155,13 +183,16 @@ def missing_series(df: DataFrame, requests: DataFrame) -> DataFrame:
 
     A census cube publishes no zeros, so its missing series mean zero; elsewhere they are unknown.
     """
+    key = [CUBE_ID, "COORDINATE"]
+    wanted, size = materialize_measured(normalize_requests(requests), "requests")
+    # The facts are narrowed to the requests before they are made distinct.
     found = df.select(
         X.clean_cube_id(F.col(CUBE_ID)).alias(CUBE_ID),
         X.pad_coordinate(F.col("COORDINATE")).alias("COORDINATE"),
-    ).distinct()
+    )
+    found = lookup_join(found, wanted.select(*key), key, "left_semi", bounded=fits_broadcast(size)).distinct()
     return (
-        normalize_requests(requests)
-        .join(found, [CUBE_ID, "COORDINATE"], "left_anti")
+        wanted.join(found, key, "left_anti")
         .select(
             CUBE_ID,
             "COORDINATE",
@@ -233,9 +264,9 @@ def attach_series(template: DataFrame, series_info: DataFrame) -> DataFrame:
     """Add the vector of each template row, matched on (cube, coordinate without trailing zeros)."""
     for needed in (CUBE_ID, "COORDINATE"):
         if needed not in template.columns:
-            raise ValueError(f"The template does not have a {needed} column.")
+            raise ValueError(f"A template needs a column {needed}")
     if template.isEmpty():
-        raise ValueError("No rows in the template.")
+        raise ValueError("The template is empty")
     info = series_info.select(
         CUBE_ID, X.strip_coordinate(F.col("COORDINATE")).alias("COORDINATE"), "VECTOR"
     )

@@ -169,7 +169,7 @@ def series_by_vector(
     chosen = select_vectors(observations, vectors)
     if use_ref_date:
         chosen = series_range(chosen, start, end)
-    elif start is not None and end is not None:
+    else:
         chosen = release_range(chosen, start, end)
     return finish_series(chosen, members, language, **options)
 

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 from statcube.functions import expressions as X
 from statcube.functions.names import column, names_for
 
+MALFORMED = "_corrupt_record"
+
 # --- fixed values: spellings in published headers ----------------------------------------------
 _SYMBOL_NAMES = (("Symbol",), ("Symbols", "Symboles"))
 _COORDINATE_SPELLINGS = ("Coordonnées", "Coordonnée")
@@ -50,14 +52,19 @@ def read_cube_csv(
     language: str = "eng",
     header: list[str] | None = None,
     missing: tuple[str, ...] = X.MISSING_TOKENS,
+    multi_line: bool = False,
+    quarantine: bool = False,
 ) -> DataFrame:
     """Scan an extract with every column as text and the null tokens replaced.
 
     The schema comes from the header, so Spark infers nothing and the files are read once, in
-    splits. Pass ``header`` when a folder holds several files of one cube.
+    splits. Pass ``header`` when a folder holds several files of one cube. ``multi_line`` reads quoted fields with
+    line breaks; a file is then not split. A record with more or fewer fields than the header ends the job, or, with
+    ``quarantine``, is marked: its text is in ``_corrupt_record``, see ``well_formed`` and ``malformed``.
     """
     names = header or read_header(spark, path, language)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    kept = [*names, MALFORMED] if quarantine else names
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in kept])
     raw = (
         spark.read.schema(schema)
         .option("header", True)
@@ -66,6 +73,22 @@ def read_cube_csv(
         .option("quote", '"')
         .option("escape", '"')
         .option("encoding", "UTF-8")
+        .option("multiLine", multi_line)
+        .option("mode", "PERMISSIVE" if quarantine else "FAILFAST")
+        .option("columnNameOfCorruptRecord", MALFORMED)
+        # The shape of a record is checked whatever columns are asked for.
+        .option("columnPruning", False)
         .csv(path)
     )
-    return raw.select(*[X.null_if_missing(column(c), missing).alias(c) for c in names])
+    marked = [column(MALFORMED)] if quarantine else []
+    return raw.select(*[X.null_if_missing(column(c), missing).alias(c) for c in names], *marked)
+
+
+def well_formed(extract: DataFrame) -> DataFrame:
+    """The records of a quarantine scan that fit the header."""
+    return extract.filter(column(MALFORMED).isNull()).drop(MALFORMED)
+
+
+def malformed(extract: DataFrame) -> DataFrame:
+    """The text of the records that do not fit the header."""
+    return extract.filter(column(MALFORMED).isNotNull()).select(MALFORMED)

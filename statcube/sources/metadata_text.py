@@ -18,6 +18,7 @@ from statcube.functions.names import names_for
 _RECORD = r'[^"\n]*+(?:"[^"]*+"[^"\n]*+)*+'
 _QUOTED = r'"[^"]*+(?:""[^"]*+)*+"'
 _NOTE = r'^"?(\d+)"?'
+_PRODUCT = r"^\d{8}(\d{2})?$"
 
 
 @dataclass(frozen=True)
@@ -140,11 +141,22 @@ def parse_cube_metadata(spark: SparkSession, path: str, language: str = "eng") -
     )
 
 
-def cube_members_of(sections: MetadataSections, cube_id: str) -> DataFrame:
-    """Members of the files in the column set of the member operators."""
+def cube_members_of(sections: MetadataSections, cube_id: str | None = None) -> DataFrame:
+    """Members of all files in the column set of the member operators.
+
+    Every file belongs to the cube that its cube section names; give ``cube_id`` only for the files of one cube.
+    """
     names = sections.dimensions.select("file", "dim_id", "dim_name")
-    return sections.members.join(names, ["file", "dim_id"]).select(
-        F.lit(cube_id).alias("cube_id"),
+    members = sections.members.join(names, ["file", "dim_id"])
+    if cube_id is not None:
+        members = members.withColumn("cube_id", F.lit(cube_id))
+    else:
+        # The heading of the id differs by language; it is the first field of eight or ten digits.
+        named = F.get(F.filter(F.map_values("fields"), lambda v: v.rlike(_PRODUCT)), F.lit(0))
+        owner = sections.cube.groupBy("file").agg(X.clean_cube_id(F.min_by(named, "pos")).alias("cube_id"))
+        members = members.join(owner, "file")
+    return members.select(
+        "cube_id",
         "dim_id",
         "dim_name",
         "member_id",

@@ -30,7 +30,7 @@ METADATA_OBJECT = (
     "dimension array<struct<dimensionPositionId int, dimensionNameEn string, "
     f"dimensionNameFr string, member array<struct<{_MEMBER}>>>>, "
     "footnote array<struct<footnoteId int, footnotesEn string, footnotesFr string, "
-    f"link array<struct<{_NOTE_LINK}>>>>, "
+    "link string>>, "
     "correctionFootnote array<struct<correctionId int, correctionDate string, "
     "correctionNoteEn string, correctionNoteFr string>>"
 )
@@ -145,8 +145,10 @@ def cube_notes(records: DataFrame) -> DataFrame:
     notes = route_records(records)[0].select(
         X.clean_cube_id(F.col("object.productId")).alias(CUBE_ID), F.inline("object.footnote")
     )
+    # A note with one link may hold it as a record instead of a list; both are read as a list.
+    links = F.from_json("link", f"array<struct<{_NOTE_LINK}>>")
     # Links that carry another note's id do not belong to the note.
-    own = F.filter("link", lambda l: l["footnoteId"] == F.col("footnoteId"))
+    own = F.filter(links, lambda l: l["footnoteId"] == F.col("footnoteId"))
     return (
         notes.select(CUBE_ID, "footnoteId", "footnotesEn", "footnotesFr", F.explode_outer(own).alias("l"))
         .select(
@@ -255,7 +257,7 @@ def catalog_rows(raw: DataFrame, lite: bool = False) -> DataFrame:
 def read_code_set(spark: SparkSession, path: str, code_set: str, multi_line: bool = True) -> DataFrame:
     """One of the eight code sets; the text ``NULL`` means missing."""
     if code_set not in CODE_SETS:
-        raise ValueError(f"Invalid code set, code_set must be one of {', '.join(CODE_SETS)}")
+        raise ValueError(f"Unknown code set; there are {', '.join(CODE_SETS)}")
     schema = f"object struct<{code_set} array<struct<{CODE_SETS[code_set]}>>>"
     rows = (
         spark.read.schema(schema)

@@ -1,8 +1,9 @@
 """Partitioned Parquet store of cubes with an append-only registry.
 
 ``<root>/data`` holds one dataset per stored version of a cube, ``<root>/_registry`` one small
-row per event. A dataset counts only once its registry row is written, so a failed write leaves
-the previous version in place.
+row per event. A dataset has one part or several: the first write, every append and every step of an import write a
+folder ``cube_part=...`` of their own, and the registry row lists these, one per line of ``location``. Parts count
+only once their registry row is written, so a failed write or append leaves the previous version in place.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from statcube.functions.names import (
 )
 
 FORMAT = "parquet"
+PART = "cube_part"
 # Header shape of value columns in semi-wide extracts.
 WIDE_VALUE = r" \(\d+[A-Z]*\):.+\[\d+\]$"
 REGISTRY_SCHEMA = (
@@ -43,7 +45,8 @@ def _registry_path(root: str) -> str:
 
 
 def _data_path(root: str, cube_id: str, language: str) -> str:
-    return f"{root.rstrip('/')}/data/{cube_id}-{language}-{uuid.uuid4().hex}"
+    """First part of a new dataset."""
+    return f"{root.rstrip('/')}/data/{cube_id}-{language}-{uuid.uuid4().hex}/{PART}=0"
 
 
 def _record(
@@ -69,11 +72,22 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def parts_of(location: str) -> list[str]:
+    """The folders of the parts of a dataset."""
+    return location.split("\n")
+
+
+def dataset_folder(location: str) -> str:
+    """The folder that holds the parts."""
+    return parts_of(location)[0].rpartition("/")[0]
+
+
 def _remove_dataset(spark: SparkSession, root: str, location: str) -> None:
     """Delete one dataset of this store, and nothing outside its data folder."""
-    if not location.startswith(f"{root.rstrip('/')}/data/"):
-        raise ValueError(f"{location} is not part of the store")
-    target = spark._jvm.org.apache.hadoop.fs.Path(location)
+    folder = dataset_folder(location)
+    if folder.rpartition("/")[0] != f"{root.rstrip('/')}/data":
+        raise ValueError(f"{folder} lies outside the store")
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
@@ -149,41 +163,53 @@ def store_cube(
     ready = typed_for_store(df, lang) if typed else df
     absent = [c for c in [*partition_by, *cluster_by] if c not in ready.columns]
     if absent:
-        raise ValueError(f"Partition columns must be present in the input data: {absent}")
+        raise ValueError(f"The cube lacks columns to partition or sort by: {absent}")
     location = _data_path(root, cube_id, lang)
     _laid_out(ready, partition_by, cluster_by).write.partitionBy(*partition_by).parquet(location)
     _record(spark, root, cube_id, lang, title, location, partition_by, ready.schema.json(), "stored")
     return open_cube(spark, root, cube_id, lang)
 
 
-def register_dataset(
+def register_part(
     spark: SparkSession,
     root: str,
     cube_id: str,
     language: str,
-    location: str,
+    folder: str,
     schema: T.StructType,
     partition_by: Sequence[str] = (),
     title: str | None = None,
 ) -> None:
-    """Register a dataset that was written by other means below the store's data folder."""
+    """Register a written part of a cube.
+
+    It is added to the stored cube if that lies in the same dataset folder, else it replaces it.
+    A part that is listed already is not added again.
+    """
+    lang = language_code(language)
+    entry = registry_entries(spark, root).filter((F.col(CUBE_ID) == cube_id) & (F.col("language") == lang)).first()
+    listed = parts_of(entry.location) if entry is not None else []
+    if folder in listed:
+        return
+    kept = listed if listed and dataset_folder(entry.location) == dataset_folder(folder) else []
     _record(
-        spark, root, cube_id, language_code(language), title, location, partition_by, schema.json(), "stored"
+        spark, root, cube_id, lang, title, "\n".join([*kept, folder]), partition_by, schema.json(), "stored"
     )
 
 
 def append_to_cube(df: DataFrame, root: str, cube_id: str, language: str = "eng") -> DataFrame:
-    """Add rows to a stored cube, in its schema and partitioning."""
+    """Add rows to a stored cube, in its schema and partitioning.
+
+    They are written to a folder of their own that counts once it is registered: an append that fails leaves
+    nothing behind that can be read, and can be repeated.
+    """
     spark, lang = df.sparkSession, language_code(language)
     entry = _entry(spark, root, cube_id, lang)
     schema = T.StructType.fromJson(json.loads(entry.schema_json))
     ready = typed_for_store(df, lang).select(*[column(f.name) for f in schema.fields])
-    _laid_out(ready, entry.partitioning, ()).write.mode("append").partitionBy(
-        *entry.partitioning
-    ).parquet(entry.location)
-    _record(
-        spark, root, cube_id, lang, entry.title, entry.location, entry.partitioning, entry.schema_json, "stored"
-    )
+    added = f"{dataset_folder(entry.location)}/{PART}={uuid.uuid4().hex}"
+    _laid_out(ready, entry.partitioning, ()).write.partitionBy(*entry.partitioning).parquet(added)
+    location = f"{entry.location}\n{added}"
+    _record(spark, root, cube_id, lang, entry.title, location, entry.partitioning, entry.schema_json, "stored")
     return open_cube(spark, root, cube_id, lang)
 
 
@@ -194,7 +220,8 @@ def open_cube(spark: SparkSession, root: str, cube_id: str, language: str = "eng
     """
     entry = _entry(spark, root, cube_id, language)
     schema = T.StructType.fromJson(json.loads(entry.schema_json))
-    stored = spark.read.schema(schema).parquet(entry.location)
+    reader = spark.read.schema(schema).option("basePath", dataset_folder(entry.location))
+    stored = reader.parquet(*parts_of(entry.location))
     return stored.select(*[column(f.name) for f in schema.fields])
 
 
@@ -266,11 +293,13 @@ def dataset_sizes(spark: SparkSession, root: str, entries: DataFrame) -> DataFra
         .load(f"{root.rstrip('/')}/data")
         .select("path", "length")
     )
-    folder = F.regexp_extract("path", r"/data/([^/]+)/", 1)
-    sizes = files.groupBy(folder.alias("folder")).agg(F.sum("length").alias("bytes"))
-    return entries.withColumn("folder", F.regexp_extract("location", r"([^/]+)$", 1)).join(
-        sizes, "folder", "left"
-    ).drop("folder")
+    folder = F.regexp_extract("path", r"/data/([^/]+/[^/]+)/", 1)
+    sizes = files.groupBy(folder.alias("folder")).agg(F.sum("length").alias("size"))
+    placed = entries.select(CUBE_ID, "language", F.explode(F.split("location", "\n")).alias("path")).select(
+        CUBE_ID, "language", F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("folder")
+    )
+    total = placed.join(sizes, "folder").groupBy(CUBE_ID, "language").agg(F.sum("size").alias("bytes"))
+    return entries.join(total, [CUBE_ID, "language"], "left")
 
 
 def cube_registry(spark: SparkSession, root: str, catalog: DataFrame | None = None) -> DataFrame:

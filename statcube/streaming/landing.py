@@ -12,7 +12,7 @@ from statcube.functions import expressions as X
 from statcube.functions.names import column, language_code, names_for
 from statcube.operators.reshape import wide_to_long
 from statcube.sources.scratch import scratch_path
-from statcube.sources.store import open_cube, register_dataset, typed_for_store
+from statcube.sources.store import PART, open_cube, register_part, typed_for_store
 
 
 def import_landed(
@@ -31,8 +31,10 @@ def import_landed(
     """Append all landed files of a cube to the store, each exactly once, then stop.
 
     Every step takes at most ``files_per_step`` files, reshapes them to long form, applies
-    ``transform`` (row-wise) and appends. The file log in ``progress`` lets a broken import go on
-    where it stopped.
+    ``transform`` (row-wise) and writes a part of its own, which is then registered. The file log in ``progress`` lets
+    a broken import go on where it stopped: a step that was not finished writes the same part again. A later call with
+    the same ``progress`` adds the files that have landed since; with another one, or none, the cube is imported anew.
+    Records whose number of fields differs from the header end the import.
     """
     n = names_for(language)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
@@ -41,21 +43,29 @@ def import_landed(
         .option("header", True)
         .option("sep", n.delimiter)
         .option("escape", '"')
+        .option("mode", "FAILFAST")
+        .option("columnPruning", False)
         .option("maxFilesPerTrigger", files_per_step)
         .csv(landing)
     )
     clean = raw.select(*[X.null_if_missing(column(c)).alias(c) for c in header])
     rows = typed_for_store(wide_to_long(clean, language), language)
     rows = transform(rows) if transform else rows
-    location = f"{root.rstrip('/')}/data/{cube_id}-{language_code(language)}-{uuid.uuid4().hex}"
+    log = progress or scratch_path(spark, "import")
+    # The same log always leads to the same folders.
+    name = uuid.uuid5(uuid.NAMESPACE_URL, f"{root.rstrip('/')} {cube_id} {language_code(language)} {log}").hex
+    stem = f"{root.rstrip('/')}/data/{cube_id}-{language_code(language)}-{name}"
+
+    def store_step(step: DataFrame, number: int) -> None:
+        part = f"{stem}/{PART}={number}"
+        step.write.mode("overwrite").partitionBy(*partition_by).parquet(part)
+        register_part(step.sparkSession, root, cube_id, language, part, rows.schema, partition_by, title)
+
     query = (
-        rows.writeStream.format("parquet")
-        .partitionBy(*partition_by)
-        .option("path", location)
-        .option("checkpointLocation", progress or scratch_path(spark, "import"))
+        rows.writeStream.foreachBatch(store_step)
+        .option("checkpointLocation", log)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    register_dataset(spark, root, cube_id, language, location, rows.schema, partition_by, title)
     return open_cube(spark, root, cube_id, language)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from statcube.operators.reshape import cube_pivot, wide_to_long
 from statcube.plans.pipelines import load_cube
 from statcube.sources import service_json as J
-from statcube.sources.delimited import read_cube_csv, repair_header
+from statcube.sources.delimited import malformed, read_cube_csv, repair_header, well_formed
 from statcube.sources.metadata_text import cube_members_of, parse_cube_metadata
 
 
@@ -32,6 +32,16 @@ def test_extract_is_read_as_text_with_missing_tokens(spark, tmp_path):
     assert [r.VALUE for r in long.collect()] == [1.5, None]
 
 
+def test_malformed_records_are_not_lost_in_silence(spark, tmp_path):
+    path = tmp_path / "cube.csv"
+    path.write_text('"A","B"\n"1","x"\n"2"\n"3","y","z"\n"4","two\nlines"\n', encoding="utf-8")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_cube_csv(spark, str(path)).select("A").collect()
+    marked = read_cube_csv(spark, str(path), multi_line=True, quarantine=True).cache()
+    assert sorted(tuple(r) for r in well_formed(marked).collect()) == [("1", "x"), ("4", "two\nlines")]
+    assert malformed(marked).count() == 2
+
+
 def wide(spark, columns, row):
     return spark.createDataFrame([row], ", ".join(f"`{c}` string" for c in columns))
 
@@ -52,12 +62,12 @@ def test_semi_wide_extract(spark):
 
 def test_unclear_semi_wide_extracts_are_left_alone(spark):
     shifted = ["Symbol 1", "A (2): x[1]", "Symbol 2", "A (2): y[2]"]
-    with pytest.warns(UserWarning, match="identify dimensions"):
+    with pytest.warns(UserWarning, match="do not alternate"):
         assert wide_to_long(wide(spark, shifted, ("1",) * 4)).columns == shifted
     mixed = ["A (2): x[1]", "Symbol 1", "B (2): y[2]", "Symbol 2"]
-    with pytest.warns(UserWarning, match="dimension name"):
+    with pytest.warns(UserWarning, match="several dimensions"):
         assert wide_to_long(wide(spark, mixed, ("1",) * 4)).columns == mixed
-    with pytest.warns(UserWarning, match="Unknown table type"):
+    with pytest.warns(UserWarning, match="neither a long"):
         assert wide_to_long(wide(spark, ["A", "Symbol"], ("1", "2"))).columns == ["A", "Symbol"]
 
 
@@ -68,6 +78,13 @@ def test_pivot_rejects_two_values_for_a_cell(spark):
         cube_pivot(df.unionAll(df), "s", "v", ["a", "b"]).collect()
 
 
+def test_pivot_rejects_unlisted_levels(spark):
+    df = spark.createDataFrame([("x", "a", 1.0), ("x", "c", 2.0), ("x", None, 3.0)], "k string, s string, v double")
+    for rows in (df, df.filter("s = 'c'"), df.filter("s IS NULL")):
+        with pytest.raises(Exception, match="Unlisted level"):
+            cube_pivot(rows, "s", "v", ["a", "b"]).collect()
+
+
 METADATA = {
     "eng": '''"Cube Title","Product Id","Archive Status"
 "Sales, monthly","20100001","CURRENT"
@@ -147,8 +164,13 @@ def test_metadata_sections(spark, tmp_path, ending):
         ("1", "First, with a comma"), ("2", "A note on\ntwo lines"), ("3", "Plain"),
     ]
     assert s.corrections.first().fields["Correction Note"] == "Fixed"
-    rows = cube_members_of(s, "20-10-0001")
-    assert {r.dim_name for r in rows.collect()} == {"Geography", "Industry"}
+    rows = cube_members_of(s)
+    assert {(r.cube_id, r.dim_name) for r in rows.collect()} == {("20-10-0001", "Geography"), ("20-10-0001", "Industry")}
+    (tmp_path / "other").mkdir()
+    other = METADATA["eng"].replace("20100001", "35100003")
+    (tmp_path / "other" / "35100003_MetaData.csv").write_text(other, encoding="utf-8")
+    both = cube_members_of(parse_cube_metadata(spark, str(tmp_path)))
+    assert {(r.cube_id, r.n) for r in both.groupBy("cube_id").agg(F.count("*").alias("n")).collect()} == {("20-10-0001", 4), ("35-10-0003", 4)}
 
 
 def test_french_metadata(spark, tmp_path):
@@ -244,7 +266,7 @@ def test_code_sets(spark, tmp_path):
     path = tmp_path / "codes.json"
     path.write_text(json.dumps({"object": {"survey": [{"surveyCode": "1", "surveyEn": "A", "surveyFr": "NULL"}]}}))
     assert tuple(J.read_code_set(spark, str(path), "survey").first()) == ("1", "A", None)
-    with pytest.raises(ValueError, match="code_set must be one of"):
+    with pytest.raises(ValueError, match="Unknown code set"):
         J.read_code_set(spark, str(path), "colour")
 
 

@@ -32,7 +32,7 @@ def test_store_and_open_keep_types_and_partition_text(spark, tmp_path):
 
 
 def test_store_checks_its_input(spark, tmp_path):
-    with pytest.raises(ValueError, match="Partition columns"):
+    with pytest.raises(ValueError, match="lacks columns"):
         St.store_cube(facts(spark), str(tmp_path), "20-10-0001", partition_by=["Sex"])
     twice = facts(spark).withColumn("x", F.lit(1)).toDF("REF_DATE", "GEO", "DGUID", "COORDINATE", "VALUE", "geo")
     with pytest.raises(ValueError, match="Duplicated column names"):
@@ -105,7 +105,7 @@ def test_refresh_policy(spark, tmp_path):
 
 
 def test_only_datasets_of_the_store_can_be_removed(spark, tmp_path):
-    with pytest.raises(ValueError, match="not part of the store"):
+    with pytest.raises(ValueError, match="outside the store"):
         St._remove_dataset(spark, str(tmp_path / "store"), str(tmp_path / "elsewhere"))
 
 
@@ -119,3 +119,30 @@ def test_landed_files_are_imported_once(spark, tmp_path):
     )
     assert cube.count() == 3 and dict(cube.dtypes)["year"] == "int"
     assert dict(cube.dtypes)["VALUE"] == "double" and "GeoUID" in cube.columns
+
+
+def test_imports_go_on_and_take_appends(spark, tmp_path):
+    """A repeated import, an append and a failed step keep every row once."""
+    landing, progress, root = str(tmp_path / "landing"), str(tmp_path / "progress"), str(tmp_path / "store")
+
+    def land():
+        facts(spark).repartition(2).write.mode("append").option("header", True).csv(landing)
+
+    def run(transform=None):
+        return import_landed(
+            spark, landing, facts(spark).columns, root, "20-10-0001", transform=transform,
+            partition_by=["GEO"], files_per_step=1, progress=progress,
+        )
+
+    land()
+    assert run().count() == 3 and run().count() == 3
+    St.append_to_cube(facts(spark), root, "20-10-0001")
+    assert St.open_cube(spark, root, "20-10-0001").count() == 6
+    land()
+    broken = lambda df: df.withColumn("VALUE", F.when(F.col("VALUE").isNotNull(), F.raise_error(F.lit("stop")).cast("double")))
+    with pytest.raises(Exception, match="stop"):
+        run(broken)
+    assert St.open_cube(spark, root, "20-10-0001").count() >= 6
+    assert run().count() == 9
+    sizes = St.cube_registry(spark, root).collect()
+    assert len(sizes) == 1 and sizes[0].bytes > 0
