@@ -272,3 +272,24 @@ def part_shares(spark, folder):
         F.sum(F.col("VALUE").cast("decimal(18,2)")).cast("double").alias("Total")
     )
     return A.share_of_total(facts, totals, ["REF_DATE"], "VALUE").select("COORDINATE", "REF_DATE", "Share")
+
+
+@query(
+    "pivot_unlisted",
+    with_tables(
+        ["orders_facts"],
+        """SELECT "GEO", "REF_DATE", "Priority", max("VALUE") FILTER (WHERE "Statistic" = 'Orders') AS "Orders",
+             max("VALUE") FILTER (WHERE "Statistic" = 'Value') AS "Value", 1::BIGINT AS refused
+           FROM orders_facts WHERE "Statistic" IN ('Orders', 'Value') GROUP BY 1, 2, 3""",
+    ),
+)
+def pivot_unlisted(spark, folder):
+    """Levels have to be listed; the table with one more level is refused."""
+    facts = orders_facts(spark, folder).select("GEO", "REF_DATE", "Priority", "Statistic", "VALUE")
+    refused = 0
+    try:
+        cube_pivot(facts, "Statistic", "VALUE", ["Orders", "Value"]).write.format("noop").mode("overwrite").save()
+    except Exception as error:
+        refused = int("Unlisted level" in str(error))
+    listed = facts.filter(F.col("Statistic").isin("Orders", "Value"))
+    return cube_pivot(listed, "Statistic", "VALUE", ["Orders", "Value"]).withColumn("refused", F.lit(refused).cast("bigint"))

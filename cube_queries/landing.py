@@ -24,8 +24,9 @@ from statcube.operators.reshape import wide_to_long
 from statcube.plans.pipelines import load_cube
 from statcube.sources import metadata_text as Mt
 from statcube.sources import service_json as J
-from statcube.sources.delimited import read_cube_csv
+from statcube.sources.delimited import MALFORMED, read_cube_csv
 from statcube.sources.scratch import scratch_path
+from statcube.sources.store import append_to_cube
 from statcube.streaming.landing import import_landed
 
 
@@ -134,7 +135,7 @@ def _land_metadata(spark, folder):
     documents = table(spark, folder, "documents").withColumn("block", F.floor(F.col("doc_id") / 250))
     head = [
         (0, line(lit("Cube Title"), lit("Product Id"))),
-        (1, line(F.concat(lit("Cube "), text(F.col("block"))), text(F.col("block")))),
+        (1, line(F.concat(lit("Cube "), text(F.col("block"))), text(F.lit(20100000) + F.col("block")))),
         (2, line(lit("Dimension ID"), lit("Dimension name"), lit("Dimension Notes"))),
         (3, line(lit("1"), lit("Document"), lit("1;2"))),
         (4, line(lit("Dimension ID"), lit("Member Name"), lit("Classification Code"), lit("Member ID"),
@@ -557,3 +558,79 @@ def json_releases(spark, folder):
         .groupBy("cube_id", "event_type")
         .agg(F.sum("k").alias("k"))
     )
+
+
+@query(
+    "csv_malformed",
+    """SELECT (SELECT count(*) FROM orders WHERE o_orderkey % 5 <> 0)::BIGINT AS well_formed,
+              (SELECT count(*) FROM orders WHERE o_orderkey % 5 = 0)::BIGINT AS malformed""",
+)
+def csv_malformed(spark, folder):
+    """Records with a field too few or too many are set apart."""
+    key = text(F.col("o_orderkey"))
+    line = (
+        F.when(F.col("o_orderkey") % 10 == 0, key)
+        .when(F.col("o_orderkey") % 10 == 5, F.concat_ws(",", key, key, key))
+        .otherwise(F.concat_ws(",", key, text(F.col("o_custkey"))))
+    )
+    path = scratch_path(spark, "extract")
+    table(spark, folder, "orders").select(line.alias("value")).write.text(path)
+    marked = read_cube_csv(spark, path, header=["KEY", "CUSTOMER"], quarantine=True, first_line=False)
+    return marked.agg(
+        F.count_if(F.col(MALFORMED).isNull()).alias("well_formed"), F.count_if(F.col(MALFORMED).isNotNull()).alias("malformed")
+    )
+
+
+@query(
+    "import_twice",
+    with_tables(
+        ["returns_long"],
+        """SELECT "REF_DATE", nullif("Line status", 'F') AS "Line status", "COORDINATE", "VALUE" FROM returns_long
+           UNION ALL SELECT "REF_DATE", nullif("Line status", 'F'), "COORDINATE", "VALUE" FROM returns_long
+           WHERE "REF_DATE" >= '1998' """,
+    ),
+)
+def import_twice(spark, folder):
+    """An import, more files, the import again, and once more without new files."""
+    extract = returns_wide(spark, folder)
+    landing, progress, root = scratch_path(spark, "landing"), scratch_path(spark, "progress"), scratch_path(spark, "store")
+
+    def land(rows):
+        rows.repartition(2).write.mode("append").option("header", True).option("quoteAll", True).csv(landing)
+
+    def run():
+        return import_landed(spark, landing, extract.columns, root, RETURNS_CUBE, partition_by=["Line status"], progress=progress)
+
+    land(extract)
+    run()
+    land(extract.filter("REF_DATE >= '1998'"))
+    run()
+    return run().select("REF_DATE", "Line status", "COORDINATE", "VALUE")
+
+
+@query(
+    "append_after_import",
+    with_tables(
+        ["returns_long"],
+        """SELECT "REF_DATE", nullif("Line status", 'F') AS "Line status", "COORDINATE", "VALUE" FROM returns_long
+           UNION ALL SELECT "REF_DATE", "Line status", "COORDINATE", "VALUE" FROM returns_long WHERE "REF_DATE" < '1994' """,
+    ),
+)
+def append_after_import(spark, folder):
+    """Rows that are appended to an imported cube are read with it."""
+    extract = returns_wide(spark, folder)
+    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "store")
+    extract.repartition(2).write.option("header", True).option("quoteAll", True).csv(landing)
+    import_landed(spark, landing, extract.columns, root, RETURNS_CUBE, partition_by=["Line status"])
+    more = wide_to_long(extract.filter("REF_DATE < '1994'"))
+    return append_to_cube(more, root, RETURNS_CUBE).select("REF_DATE", "Line status", "COORDINATE", "VALUE")
+
+
+@query(
+    "metadata_of_cubes",
+    """SELECT '20-10-' || lpad((doc_id // 250)::VARCHAR, 4, '0') AS cube_id, count(*)::BIGINT AS n FROM documents GROUP BY 1""",
+)
+def metadata_of_cubes(spark, folder):
+    """Members of many metadata files in one job, each with the cube that its file names."""
+    members = Mt.cube_members_of(Mt.parse_cube_metadata(spark, _land_metadata(spark, folder)))
+    return members.groupBy("cube_id").agg(F.count(F.lit(1)).alias("n"))

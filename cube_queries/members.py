@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cube_queries.cubes import (
@@ -12,6 +13,7 @@ from cube_queries.cubes import (
     orders_members,
     part_facts,
     part_members,
+    table,
 )
 from cube_queries.registry import query, with_tables
 from statcube.functions import expressions as X
@@ -327,3 +329,42 @@ def ancestors_removed(spark, folder):
     members = part_members(spark, folder)
     parents = members.select(F.col("parent_id").alias("member_id")).distinct()
     return members.join(parents, "member_id", "left_anti").select("member_id")
+
+
+@query(
+    "deep_hierarchy",
+    """SELECT 'c-' || (p_partkey // 400)::VARCHAR AS chain, p_partkey::VARCHAR AS member_id, (p_partkey % 400 + 1)::BIGINT AS depth,
+              CASE WHEN p_partkey % 400 = 0 THEN p_partkey::VARCHAR
+                   ELSE (p_partkey // 400 * 400)::VARCHAR END AS top
+       FROM part""",
+)
+def deep_hierarchy(spark, folder):
+    """Chains of up to 400 members: every path reaches its root."""
+    key = F.col("p_partkey")
+    chain = F.floor(key / 400).cast("bigint")
+    members = table(spark, folder, "part").select(
+        F.concat(F.lit("c-"), chain.cast("string")).alias("cube_id"),
+        F.lit(1).alias("dim_id"),
+        key.cast("string").alias("member_id"),
+        F.col("p_name").alias("member_name"),
+        F.when(key % 400 > 0, (key - 1).cast("string")).alias("parent_id"),
+    )
+    path = F.split("hierarchy", r"[.]")
+    # The first chain has no member 0, so its path begins with that id.
+    return M.build_hierarchy(members).select(
+        F.col("cube_id").alias("chain"), "member_id", F.size(path).cast("bigint").alias("depth"), path[0].alias("top")
+    )
+
+
+@query(
+    "numeric_order",
+    with_tables(
+        ["part_members"],
+        """SELECT member_id, rank() OVER (ORDER BY member_id::BIGINT) AS place FROM part_members""",
+    ),
+)
+def numeric_order(spark, folder):
+    """Text ids in the order of their numbers, with the place of each."""
+    members = M.in_numeric_order(part_members(spark, folder), "member_id")
+    place = F.rank().over(Window.partitionBy("dim_id").orderBy(M.member_order()))
+    return members.select("member_id", place.cast("bigint").alias("place"))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime
+from zoneinfo import ZoneInfo
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cube_queries.cubes import ORDERS_CUBE, orders_facts, orders_members, releases, table, text
@@ -308,3 +310,63 @@ def series_info(spark, folder):
     wanted = facts.select("COORDINATE").distinct()
     chosen = S.select_series_info(info, ORDERS_CUBE, wanted)
     return chosen.select(X.strip_coordinate(F.col("coordinate")).alias("COORDINATE"), "VECTOR")
+
+
+@query(
+    "mixed_requests",
+    with_tables(
+        ["orders_facts"],
+        """SELECT "COORDINATE", "REF_DATE", "VALUE" FROM (
+             SELECT *, split_part("COORDINATE", '.', 2)::INT AS kind FROM orders_facts)
+           QUALIFY kind = 2 OR row_number() OVER (PARTITION BY "COORDINATE" ORDER BY "REF_DATE" DESC) <= 3""",
+    ),
+)
+def mixed_requests(spark, folder):
+    """All rows of some series and the last three periods of the others, in one request."""
+    facts = observations(spark, folder)
+    kind = X.coordinate_part(F.col("COORDINATE"), 2).cast("int")
+    requests = facts.select(CUBE_ID, "COORDINATE").distinct().withColumn("periods", F.when(kind != 2, F.lit(3)))
+    chosen = S.select_coordinates(facts, requests)
+    return chosen.select(X.strip_coordinate(F.col("COORDINATE")).alias("COORDINATE"), "REF_DATE", "VALUE")
+
+
+@query(
+    "release_from",
+    with_tables(
+        ["releases"],
+        """SELECT cube_id, event_type, value FROM releases
+           WHERE date_trunc('minute', "releaseTime") >= TIMESTAMP '2024-01-10 12:00:00' """,
+    ),
+)
+def release_from(spark, folder):
+    """One bound only, on release times as the service gives them: text in the publisher's wall-clock time."""
+    log = releases(spark, folder).withColumn("releaseTime", F.date_format("releaseTime", "yyyy-MM-dd'T'HH:mm"))
+    start = datetime(2024, 1, 10, 12, 0, tzinfo=ZoneInfo(X.PUBLISHER_ZONE))
+    return S.release_range(log, start).select(CUBE_ID, "event_type", "value")
+
+
+@query(
+    "undated_periods",
+    """SELECT count(*)::BIGINT AS undated FROM (SELECT o_orderkey FROM orders WHERE o_orderkey % 7 = 0)""",
+)
+def undated_periods(spark, folder):
+    """Periods of an unknown shape, which no range holds."""
+    orders = table(spark, folder, "orders").select(
+        F.when(F.col("o_orderkey") % 7 == 0, F.lit("Q1 1997")).otherwise(F.lit("1997")).alias("REF_DATE")
+    )
+    return S.undated_periods(orders).agg(F.count(F.lit(1)).alias("undated"))
+
+
+@query(
+    "sort_requests",
+    with_tables(
+        ["orders_facts"],
+        f"""SELECT '{ORDERS_CUBE}' AS cube_id, "COORDINATE", row_number() OVER (ORDER BY "COORDINATE") AS place
+            FROM (SELECT DISTINCT "COORDINATE" FROM orders_facts)""",
+    ),
+)
+def sort_requests(spark, folder):
+    """Requests in their order, with the place of each."""
+    wanted = observations(spark, folder).select(CUBE_ID, X.strip_coordinate(F.col("COORDINATE")).alias("COORDINATE"))
+    ordered = S.sort_requests(wanted.distinct())
+    return ordered.select("*", F.row_number().over(Window.partitionBy(CUBE_ID).orderBy("COORDINATE")).cast("bigint").alias("place"))

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from statcube.functions import expressions as X
 from statcube.functions.names import column, names_for
+from statcube.sources.scratch import materialize
 
 MALFORMED = "_corrupt_record"
 
@@ -54,20 +55,22 @@ def read_cube_csv(
     missing: tuple[str, ...] = X.MISSING_TOKENS,
     multi_line: bool = False,
     quarantine: bool = False,
+    first_line: bool = True,
 ) -> DataFrame:
     """Scan an extract with every column as text and the null tokens replaced.
 
     The schema comes from the header, so Spark infers nothing and the files are read once, in
-    splits. Pass ``header`` when a folder holds several files of one cube. ``multi_line`` reads quoted fields with
+    splits. Pass ``header`` when a folder holds several files of one cube, and ``first_line=False`` if files do not begin with it. ``multi_line`` reads quoted fields with
     line breaks; a file is then not split. A record with more or fewer fields than the header ends the job, or, with
-    ``quarantine``, is marked: its text is in ``_corrupt_record``, see ``well_formed`` and ``malformed``.
+    ``quarantine``, is marked: its text is in ``_corrupt_record``, see ``well_formed`` and ``malformed``. The parsed
+    records are then written once, as Spark can't be asked for the marks of raw files alone.
     """
     names = header or read_header(spark, path, language)
     kept = [*names, MALFORMED] if quarantine else names
     schema = T.StructType([T.StructField(c, T.StringType()) for c in kept])
     raw = (
         spark.read.schema(schema)
-        .option("header", True)
+        .option("header", first_line)
         .option("enforceSchema", True)
         .option("sep", names_for(language).delimiter)
         .option("quote", '"')
@@ -81,6 +84,8 @@ def read_cube_csv(
         .csv(path)
     )
     marked = [column(MALFORMED)] if quarantine else []
+    if quarantine:
+        raw = materialize(raw, "extract")
     return raw.select(*[X.null_if_missing(column(c), missing).alias(c) for c in names], *marked)
 
 
