@@ -53,7 +53,7 @@ def byte_symbols() -> list[str]:
 
 
 class MergeAutomaton:
-    """Deterministic tokenization automaton of a merge list; every merge must make a token of its own."""
+    """Deterministic tokenization automaton of a merge list."""
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], suffix: str = ""):
         self.suffix = suffix
@@ -66,8 +66,7 @@ class MergeAutomaton:
         self._arcs: dict[int, bool] = {}
         for time, (left, right) in enumerate(merges):
             u, v, made = vocab[left], vocab[right], vocab[left + right]
-            if made in self._made:
-                raise ValueError(f"Two merges make the token {left + right!r}")
+            # Without the arc the pair never comes up; so of several merges to one token at most one applies.
             if self._has_arc(u, v):
                 self._made[made] = time
                 self._parts[made] = (u, v)
