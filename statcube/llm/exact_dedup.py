@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statcube.llm.shared import Query, table
+from statcube.operators.joins import lookup_join
 from statcube.sources.scratch import materialize
 
 FAN_IN = 8
@@ -86,10 +87,11 @@ def exact_dedup(docs: DataFrame, identifier: str = "doc_id", text: str = "text",
 def drop_copies(docs: DataFrame, identifier: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    The ids that go are removed by an anti-join on the id, so only ids are compared with the documents.
+    The ids that go are removed by an anti-join on the id: as long as they are measured to be few, no text is shuffled.
+    A row without an id stays.
     """
-    gone = exact_dedup(docs, identifier, text).filter("NOT kept").select(F.col(identifier).alias("__gone"))
-    return docs.join(gone, docs[identifier] == gone["__gone"], "left_anti")
+    gone = exact_dedup(docs, identifier, text).filter("NOT kept").select(identifier)
+    return lookup_join(docs, gone, [identifier], "left_anti")
 
 
 def op6(spark, folder):

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from statcube.llm.exact_dedup import merge_runs
 from statcube.llm.shared import Query, sorted_groups, table, texts_of
+from statcube.operators.joins import lookup_join
 from statcube.sources.scratch import materialize, materialize_counted
 
 SHINGLE_WORDS = 5
@@ -189,7 +190,8 @@ def _verified(docs: DataFrame, identifier: str, text: str, members: DataFrame, t
     id_kind = docs.schema[identifier].dataType.simpleString()
     pieces = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("pieces"))
     dealt = members.join(pieces, "component").withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
-    whole = docs.select(F.col(identifier).alias("node"), F.col(text).alias("__text")).join(dealt, "node")
+    # Few documents have candidates: as long as these are measured to be small, no text is shuffled to find them.
+    whole = lookup_join(docs.select(F.col(identifier).alias("node"), F.col(text).alias("__text")), dealt, ["node"], "inner")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -274,8 +276,8 @@ def near_duplicates(docs: DataFrame, identifier: str = "doc_id", text: str = "te
 
 def drop_near_duplicates(docs: DataFrame, identifier: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` with the least id of their class, with all their columns."""
-    gone = near_duplicates(docs, identifier, text).filter(F.col(identifier) != F.col("class_id")).select(F.col(identifier).alias("__gone"))
-    return docs.join(gone, docs[identifier] == gone["__gone"], "left_anti")
+    gone = near_duplicates(docs, identifier, text).filter(F.col(identifier) != F.col("class_id")).select(identifier)
+    return lookup_join(docs, gone, [identifier], "left_anti")
 
 
 def op8(spark, folder):
