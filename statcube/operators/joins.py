@@ -13,56 +13,37 @@ from statcube.sources.scratch import Size, materialize, materialize_measured
 # A lookup is broadcast only if it was measured and stays below both.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024**2
-# A larger lookup is repeated per salt only up to this size; beyond it would be moved too often.
-SALTED_BYTES = 4 * 1024**3
-# Pieces a key of the large side is cut into when the lookup is too large to broadcast.
-SALTS = 16
 # Rows of one group that a single task may sort.
 GROUP_ROWS = 5_000_000
 
-_SALT = "__salt"
-
-
 def fits_broadcast(size: Size, max_rows: int | None = None) -> bool:
     limit = BROADCAST_ROWS if max_rows is None else max_rows
     return size.rows <= limit and size.bytes <= BROADCAST_BYTES
 
 
-def row_salt(df: DataFrame, salts: int = SALTS) -> Column:
-    """Piece number from the row's own values, so that a retried task repeats it."""
-    hashable = [column(c) for c, kind in df.dtypes if "map<" not in kind]
-    return F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int")
-
-
 def lookup_join(
     large: DataFrame,
     lookup: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    bounded: bool | None = None,
+    bounded: bool | Size | None = None,
 ) -> DataFrame:
     """Join a large frame to a lookup (inner, left, left_semi or left_anti).
 
-    A lookup of measured small size is broadcast: no shuffle of the large side. Otherwise the
-    keys of the large side are salted and the lookup is repeated once per salt, so that one key
-    (or the NULL key) that holds a large share of all rows is spread over many tasks. A lookup
-    of many gigabytes is left to the adaptive skew join, which repeats only the parts that meet
-    a hot key.
+    A lookup of measured small size is broadcast: no shuffle of the large side. Any other lookup takes a
+    plain equi-join. Adaptive execution measures the shuffled keys and cuts the partitions that are really skewed, so a
+    key (or the NULL key) that holds a large share of all rows is spread over many tasks, in as many pieces as its
+    size asks for, and only the lookup rows of that partition are repeated.
 
-    The lookup is written once and counted in the same job, so what it is derived from is not
-    computed again by the join. ``bounded`` passes on an earlier measurement instead.
+    A lookup that was not measured is written once and counted in the same job, so what it is derived from is
+    not computed again by the join. ``bounded`` passes on an earlier measurement, or its outcome.
     """
     on = list(on)
     if bounded is None:
-        lookup, size = materialize_measured(lookup, "lookup")
-        bounded = fits_broadcast(size)
-        if size.bytes > SALTED_BYTES:
-            return large.join(lookup, on, how)
-    if bounded:
-        return large.join(F.broadcast(lookup), on, how)
-    salted = large.withColumn(_SALT, row_salt(large))
-    repeated = lookup.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(repeated, [*on, _SALT], how).drop(_SALT)
+        lookup, bounded = materialize_measured(lookup, "lookup")
+    if isinstance(bounded, Size):
+        bounded = fits_broadcast(bounded)
+    return large.join(F.broadcast(lookup) if bounded else lookup, on, how)
 
 
 def number_rows(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from statcube.functions import expressions as X
 from statcube.functions.names import CUBE_ID, column, names_for
-from statcube.operators.joins import SALTS, fits_broadcast, lookup_join, number_rows
+from statcube.operators.joins import fits_broadcast, lookup_join, number_rows
 from statcube.operators.members import member_order
 from statcube.sources.scratch import materialize, materialize_measured
 
@@ -145,7 +145,9 @@ def latest_n(
         return ranked.filter(F.col("__rank") <= limit).drop("__rank")
 
     if most is None or most > GROUP_LIMIT:
-        piece = F.pmod(F.xxhash64(column(order)), F.lit(SALTS))
+        # As many pieces as the shuffle has partitions, which is set by the size of the data.
+        pieces = max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        piece = F.pmod(F.xxhash64(column(order)), F.lit(pieces))
         present = first_rows(present.withColumn("__piece", piece), [*series, "__piece"]).drop("__piece")
     return first_rows(present, series)
 

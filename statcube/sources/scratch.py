@@ -1,7 +1,8 @@
 """Written intermediates in the shared checkpoint folder.
 
 A written table cuts lineage, survives the loss of executors and gives Catalyst exact sizes for
-what follows. The folder is the one the cluster names in ``spark.checkpoint.dir``.
+what follows. The folder is the one the cluster names in ``spark.checkpoint.dir``. Everything lies below a
+folder of the application, which ``release_scratch`` deletes when the results are written.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
+# In local mode without the setting: one folder of this process.
+_LOCAL_ROOT: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -23,14 +26,27 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not re.match(r"local($|\[)", spark.sparkContext.master):
         raise ValueError(f"Set {_SETTING} to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="statcube-")
-    spark.conf.set(_SETTING, root)
-    return root
+    if not _LOCAL_ROOT:
+        _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="statcube-"))
+    return _LOCAL_ROOT[0]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; never one that was used before."""
-    return f"{scratch_root(spark)}/statcube/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the application's own part of the shared folder; never one that was used before."""
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/statcube/{spark.sparkContext.applicationId}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete all intermediates of this application; frames that were derived from them can't be read after that.
+
+    For the end of a job, or between jobs whose results are written.
+    """
+    target = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -29,6 +29,7 @@ from statcube.functions.names import (
     reject_duplicate_columns,
     same_columns,
 )
+from statcube.sources.scratch import materialize
 
 FORMAT = "parquet"
 PART = "cube_part"
@@ -36,7 +37,7 @@ PART = "cube_part"
 WIDE_VALUE = r" \(\d+[A-Z]*\):.+\[\d+\]$"
 REGISTRY_SCHEMA = (
     f"{CUBE_ID} string, language string, format string, title string, location string, "
-    "partitioning array<string>, schema_json string, event string, time_cached timestamp"
+    "partitioning array<string>, schema_json string, event string, time_cached timestamp, bytes bigint"
 )
 
 
@@ -61,7 +62,8 @@ def _record(
     event: str,
 ) -> None:
     now = datetime.now(timezone.utc)
-    row = (cube_id, language, FORMAT, title, location, list(partitioning), schema_json, event, now)
+    size = sum(_bytes_below(spark, part) for part in parts_of(location))
+    row = (cube_id, language, FORMAT, title, location, list(partitioning), schema_json, event, now, size)
     fields = T.StructType.fromDDL(REGISTRY_SCHEMA).fields
     values = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]
     spark.range(0, 1, 1, 1).select(*values).write.mode("append").parquet(_registry_path(root))
@@ -72,6 +74,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def _bytes_below(spark: SparkSession, path: str) -> int:
+    """Bytes of the files of one part, asked for once, when it is registered."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+
+
 def parts_of(location: str) -> list[str]:
     """The folders of the parts of a dataset."""
     return location.split("\n")
@@ -284,31 +292,9 @@ def repartition_cube(
     return True
 
 
-def dataset_sizes(spark: SparkSession, root: str, entries: DataFrame) -> DataFrame:
-    """Bytes per stored dataset, from the file listing alone."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .load(f"{root.rstrip('/')}/data")
-        .select("path", "length")
-    )
-    folder = F.regexp_extract("path", r"/data/([^/]+/[^/]+)/", 1)
-    sizes = files.groupBy(folder.alias("folder")).agg(F.sum("length").alias("size"))
-    placed = entries.select(CUBE_ID, "language", F.explode(F.split("location", "\n")).alias("path")).select(
-        CUBE_ID, "language", F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("folder")
-    )
-    total = placed.join(sizes, "folder").groupBy(CUBE_ID, "language").agg(F.sum("size").alias("bytes"))
-    return entries.join(total, [CUBE_ID, "language"], "left")
-
-
 def cube_registry(spark: SparkSession, root: str, catalog: DataFrame | None = None) -> DataFrame:
     """Stored cubes with size and, given a catalog, their release time and freshness."""
-    entries = registry_entries(spark, root)
-    if not _exists(spark, f"{root.rstrip('/')}/data"):
-        listed = entries.withColumn("bytes", F.lit(None).cast("bigint"))
-    else:
-        listed = dataset_sizes(spark, root, entries)
+    listed = registry_entries(spark, root)
     listed = listed.select(
         CUBE_ID,
         "language",
@@ -362,12 +348,15 @@ def drop_cubes(
 ) -> int:
     """Drop stored cubes; returns how many. Entries are closed before their files are deleted."""
     chosen = select_entries(registry_entries(spark, root), cubes, languages)
+    fields = [f.name for f in T.StructType.fromDDL(REGISTRY_SCHEMA).fields]
+    closed = materialize(
+        chosen.withColumns({"event": F.lit("dropped"), "time_cached": F.lit(datetime.now(timezone.utc))}).select(*fields),
+        "dropped",
+    )
+    # All entries are closed by one write; the folders go one by one, as file systems ask for it.
+    closed.coalesce(1).write.mode("append").parquet(_registry_path(root))
     dropped = 0
-    for entry in chosen.toLocalIterator():
-        _record(
-            spark, root, entry[CUBE_ID], entry.language, entry.title, entry.location,
-            entry.partitioning, entry.schema_json, "dropped",
-        )
+    for entry in closed.select("location").toLocalIterator():
         _remove_dataset(spark, root, entry.location)
         dropped += 1
     return dropped

@@ -16,7 +16,7 @@ def hot_frame(spark):
     return spark.range(3000).select(k.alias("k"), "id")
 
 
-def test_salted_lookup_equals_plain_join(spark):
+def test_lookup_equals_plain_join(spark):
     left = hot_frame(spark)
     right = left.select("k").distinct().filter("k IS NOT NULL").withColumn("v", F.length("k"))
     right = right.filter("k <> '5'")
@@ -26,18 +26,26 @@ def test_salted_lookup_equals_plain_join(spark):
         assert rows(lookup_join(left, right, ["k"], how)) == rows(plain)
 
 
-def test_salted_lookup_spreads_the_hot_key(spark):
-    left = hot_frame(spark)
-    right = spark.createDataFrame([("hot", 1)], "k string, v int")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_a_hot_key_of_a_large_lookup_is_split(spark):
+    left = spark.range(200_000).select(F.when(F.col("id") % 3 < 2, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.sha1(F.col("id").cast("string")).alias("t"))
+    # Written, so that the join's own shuffle is the only one below it.
+    right, size = materialize_measured(left.select("k").distinct().withColumn("v", F.col("k") + 1), "right")
+    assert size.rows > 60_000
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
-        joined = lookup_join(left, right, ["k"], "inner", bounded=False)
-        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
-        assert len(sizes) > 3
+        joined = lookup_join(left, right, ["k"], "left", bounded=False)
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for k in settings:
+            spark.conf.unset(k)
 
 
 def test_row_numbers_over_ranges_equal_a_window(spark):
@@ -63,5 +71,13 @@ def test_wide_lookups_are_not_broadcast(spark, monkeypatch):
     plan = lookup_join(left, right, ["k"])._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" not in plan
     assert rows(lookup_join(left, right, ["k"])) == plain
-    monkeypatch.setattr(joins, "SALTED_BYTES", 10)
-    assert rows(lookup_join(left, right, ["k"])) == plain
+
+
+def test_scratch_is_empty_after_release(spark, tmp_path, monkeypatch):
+    import statcube.sources.scratch as scratch
+
+    monkeypatch.setattr(scratch, "_own_folder", lambda session: str(tmp_path / "app"))
+    assert scratch.materialize(spark.range(5), "five").count() == 5
+    assert list(tmp_path.rglob("*.parquet"))
+    scratch.release_scratch(spark)
+    assert not list(tmp_path.rglob("*.parquet"))
