@@ -21,6 +21,7 @@ from cube_queries.registry import query, with_tables
 from statcube.functions import expressions as X
 from statcube.functions.names import names_for, rename_language
 from statcube.operators.reshape import wide_to_long
+from statcube.plans.metadata import store_metadata, stored_members
 from statcube.plans.pipelines import load_cube
 from statcube.sources import metadata_text as Mt
 from statcube.sources import service_json as J
@@ -626,6 +627,21 @@ def append_after_import(spark, folder):
     return append_to_cube(more, root, RETURNS_CUBE).select("REF_DATE", "Line status", "COORDINATE", "VALUE")
 
 
+@query(
+    "stored_metadata",
+    """SELECT '20-10-' || lpad((doc_id // 250)::VARCHAR, 4, '0') AS cube_id, doc_id::VARCHAR AS member_id,
+              CASE WHEN doc_id % 250 = 0 THEN doc_id::VARCHAR
+                   ELSE (doc_id // 250 * 250)::VARCHAR || '.' || doc_id::VARCHAR END AS hierarchy FROM documents""",
+)
+def stored_metadata(spark, folder):
+    """Members of all metadata files of a folder, prepared and stored in one job and read back; stored twice, read once."""
+    root = scratch_path(spark, "store")
+    members = Mt.cube_members_of(Mt.parse_cube_metadata(spark, _land_metadata(spark, folder))).drop("terminated")
+    store_metadata(members, root)
+    store_metadata(members, root)
+    return stored_members(spark, root).select("cube_id", "member_id", "hierarchy")
+
+
 @query(
     "metadata_of_cubes",
     """SELECT '20-10-' || lpad((doc_id // 250)::VARCHAR, 4, '0') AS cube_id, count(*)::BIGINT AS n FROM documents GROUP BY 1""",

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cube_queries.cubes import ORDERS_CUBE, PART_CUBE, orders_facts, part_facts, returns_wide
-from cube_queries.members import NORMALIZED_SQL, orders_meta
+from cube_queries.cubes import ORDERS_CUBE, PART_CUBE, orders_facts, orders_members, part_facts, returns_wide
+from cube_queries.members import NORMALIZED_SQL
 from cube_queries.registry import query, with_tables
 from statcube.operators.reshape import wide_to_long
 from statcube.operators.series import latest_n
+from statcube.plans.metadata import open_metadata, store_metadata
 from statcube.plans.pipelines import normalize_cube, query_stored_cube
 from statcube.sources import store as St
 from statcube.sources.scratch import scratch_path
@@ -28,6 +29,15 @@ def _store_orders(spark, folder, **options):
     return root
 
 
+def _store_orders_and_members(spark, folder, **options):
+    """The cube, and its members together with those of another cube."""
+    root = _store_orders(spark, folder, **options)
+    members = orders_members(spark, folder)
+    other = members.withColumn("cube_id", F.lit("20-10-0999")).filter("dim_id = 1")
+    store_metadata(members.unionByName(other), root)
+    return root
+
+
 def _choose(df):
     return df.filter(F.col("GeoUID").isin("03", "14") & (F.col("Statistic") == "Value"))
 
@@ -54,9 +64,9 @@ def repartitioned_filter(spark, folder):
     ),
 )
 def stored_cube_query(spark, folder):
-    root = _store_orders(spark, folder, partition_by=["GEO"])
+    root = _store_orders_and_members(spark, folder, partition_by=["GEO"])
     cube = query_stored_cube(
-        spark, root, ORDERS_CUBE, F.col("GEO") == "NATION_3", orders_meta(spark, folder)
+        spark, root, ORDERS_CUBE, F.col("GEO") == "NATION_3"
     )
     return cube.select(
         "VECTOR", "REF_DATE", "Date", "val_norm", "GEO", "Priority", "Hierarchy for GEO", "Priority__ord"
@@ -73,9 +83,9 @@ def stored_cube_query(spark, folder):
     ),
 )
 def latest_normalized(spark, folder):
-    root = _store_orders(spark, folder, partition_by=["GEO"])
+    root = _store_orders_and_members(spark, folder, partition_by=["GEO"])
     stored = St.open_cube(spark, root, ORDERS_CUBE).filter("Statistic = 'Value'")
-    cube = normalize_cube(latest_n(stored, 12), orders_meta(spark, folder), default_month="07")
+    cube = normalize_cube(latest_n(stored, 12), open_metadata(spark, root, ORDERS_CUBE), default_month="07")
     return cube.select(
         "VECTOR", "REF_DATE", "Date", "GEO", "Priority", "Statistic", "val_norm", "Hierarchy for GEO",
         "Classification Code for Priority",

@@ -92,15 +92,20 @@ class CubeMetadata:
         return next((d for d in self.dimensions if d.name == name), None)
 
 
-def describe_cube(
-    members: DataFrame, cube_id: str, language: str = "eng", broadcast_rows: int | None = None
-) -> CubeMetadata:
-    """Prepare the members of a cube: paths, unambiguous names, order; measure their number."""
-    own, size = materialize_measured(members.filter(F.col(CUBE_ID) == cube_id), "members")
+def prepare_members(members: DataFrame, broadcast_rows: int | None = None) -> tuple[DataFrame, bool]:
+    """Members of any number of cubes with paths, unambiguous names and order, as a written table.
+
+    Also tells whether they are few enough to be broadcast.
+    """
+    own, size = materialize_measured(members, "members")
     small = fits_broadcast(size, broadcast_rows)
     key = [CUBE_ID, "dim_id", "member_id"]
     levels = category_levels(dedupe_members(own, small), small).drop("member_name")
-    ready = materialize(lookup_join(build_hierarchy(own, small), levels, key, bounded=small), "members")
+    return materialize(lookup_join(build_hierarchy(own, small), levels, key, bounded=small), "members"), small
+
+
+def cube_metadata(ready: DataFrame, cube_id: str, language: str, bounded: bool) -> CubeMetadata:
+    """Metadata of one cube from its prepared members."""
     rows = (
         ready.groupBy("dim_id", "dim_name")
         .agg(
@@ -115,7 +120,15 @@ def describe_cube(
     dimensions = tuple(
         Dimension(int(r.dim_id), r.dim_name, r.has_codes, r.renamed, r.n == r.n_names) for r in rows
     )
-    return CubeMetadata(cube_id, language, ready, dimensions, small)
+    return CubeMetadata(cube_id, language, ready, dimensions, bounded)
+
+
+def describe_cube(
+    members: DataFrame, cube_id: str, language: str = "eng", broadcast_rows: int | None = None
+) -> CubeMetadata:
+    """Prepare the members of one cube; for many, and for use in later jobs, store them (``plans.metadata``)."""
+    ready, small = prepare_members(members.filter(F.col(CUBE_ID) == cube_id), broadcast_rows)
+    return cube_metadata(ready, cube_id, language, small)
 
 
 def attach_by_coordinate(

@@ -39,6 +39,7 @@ from statcube.operators.series import (
     select_vectors,
     series_range,
 )
+from statcube.plans.metadata import open_metadata
 from statcube.sources.delimited import read_cube_csv
 from statcube.sources.metadata_text import cube_members_of, parse_cube_metadata
 from statcube.sources.store import add_geo_uid, open_cube
@@ -127,10 +128,12 @@ def query_stored_cube(
     root: str,
     cube_id: str,
     condition,
-    meta: CubeMetadata,
+    meta: CubeMetadata | None = None,
+    language: str = "eng",
     **options,
 ) -> DataFrame:
-    """Filter a stored cube and normalize what is left."""
+    """Filter a stored cube and normalize what is left, by the stored metadata if none is given."""
+    meta = meta or open_metadata(spark, root, cube_id, language)
     options = {"default_month": "07", "default_day": "01", **options}
     stored = open_cube(spark, root, cube_id, meta.language).filter(condition)
     return normalize_cube(wide_to_long(stored, meta.language), meta, **options)
