@@ -370,3 +370,20 @@ def sort_requests(spark, folder):
     wanted = observations(spark, folder).select(CUBE_ID, X.strip_coordinate(F.col("COORDINATE")).alias("COORDINATE"))
     ordered = S.sort_requests(wanted.distinct())
     return ordered.select("*", F.row_number().over(Window.partitionBy(CUBE_ID).orderBy("COORDINATE")).cast("bigint").alias("place"))
+
+
+@query(
+    "coordinates_french",
+    with_tables(
+        ["orders_facts"],
+        """SELECT "REF_DATE" AS "PÉRIODE DE RÉFÉRENCE", "VALUE" AS "VALEUR", "COORDINATE" AS "COORDONNÉES",
+                  regexp_replace("Priority", ' \\[.+\\]$', '') AS "Priority", "Statistic" FROM orders_facts
+           QUALIFY row_number() OVER (PARTITION BY "COORDINATE" ORDER BY "REF_DATE" DESC) <= 2""",
+    ),
+)
+def coordinates_french(spark, folder):
+    """The whole way of a request by coordinate, under French headings."""
+    facts = observations(spark, folder)
+    wanted = facts.select(CUBE_ID, "COORDINATE").distinct()
+    found, _ = series_by_coordinate(facts, orders_members(spark, folder), wanted, 2, "fra")
+    return found.select("PÉRIODE DE RÉFÉRENCE", "VALEUR", "COORDONNÉES", "Priority", "Statistic")

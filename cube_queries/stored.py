@@ -144,3 +144,37 @@ def append_import(spark, folder):
     St.store_cube(wide_to_long(extract.filter(~late)), root, "98-10-0002", partition_by=["Line status"])
     St.append_to_cube(wide_to_long(extract.filter(late)), root, "98-10-0002")
     return St.open_cube(spark, root, "98-10-0002").select("REF_DATE", "COORDINATE", "VALUE", "Line status")
+
+
+@query("open_current", with_tables(["orders_facts"], 'SELECT "VECTOR", "REF_DATE", "VALUE" FROM orders_facts'))
+def open_current(spark, folder):
+    """Stored at the first call, only opened at the second, whose loader must not be asked."""
+    root = new_store(spark)
+
+    def refuse():
+        raise AssertionError("The stored cube is there")
+
+    St.open_current(spark, root, ORDERS_CUBE, lambda: orders_facts(spark, folder), partition_by=["GEO"])
+    return St.open_current(spark, root, ORDERS_CUBE, refuse).select("VECTOR", "REF_DATE", "VALUE")
+
+
+@query(
+    "stored_sizes",
+    with_tables(
+        ["orders_facts", "part_facts"],
+        f"""SELECT '{ORDERS_CUBE}' AS cube_id, true AS plausible FROM (SELECT count(*) FROM orders_facts)
+            UNION ALL SELECT '{PART_CUBE}', true FROM (SELECT count(*) FROM part_facts)""",
+    ),
+)
+def stored_sizes(spark, folder):
+    """Bytes of a stored cube against the lengths of its files."""
+    root = _store_orders(spark, folder, partition_by=["GEO"])
+    St.store_cube(part_facts(spark, folder), root, PART_CUBE, title="Parts")
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+        .load(f"{root}/data").select(F.regexp_extract("path", r"/data/(\d\d-\d\d-\d{4})-", 1).alias("cube_id"), "length")
+    )
+    sizes = files.groupBy("cube_id").agg(F.sum("length").alias("length"))
+    listed = St.cube_registry(spark, root).join(sizes, "cube_id")
+    # The listed bytes also hold the checksums and marker files of the folder.
+    return listed.select("cube_id", F.col("bytes").between(F.col("length"), F.col("length") * 1.2 + 100_000).alias("plausible"))
