@@ -5,12 +5,13 @@ from __future__ import annotations
 from datetime import date, datetime, time, timedelta
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statcube.functions import expressions as X
 from statcube.functions.names import CUBE_ID, column, names_for
 from statcube.operators.joins import lookup_join
+from statcube.sources.scratch import materialize
 
 SEARCHED = (
     "cubeTitleEn",
@@ -25,6 +26,8 @@ SEARCHED = (
     "productId",
 )
 PUBLISHING_TIME = time(9, 0)
+# A map is searched from its beginning, so it has to be short.
+MAPPED_CODES = 2000
 
 
 def search_catalog(catalog: DataFrame, term: str) -> DataFrame:
@@ -42,9 +45,22 @@ def label_codes(
     """Turn a ``", "`` list of codes into ``"; "`` lists of labels, order kept.
 
     ``labels`` maps a label column of the code set to the new column. Codes that are not in the
-    set are left out. The list of a row is taken apart and put together by the row's key, so
-    the size of the code set does not matter.
+    set are left out. A code set of up to ``MAPPED_CODES`` rows becomes a map in the projection of the rows, without
+    any shuffle of these. With a larger set, or one that repeats codes, the list of a row is taken apart and put together by the row's key.
     """
+    code_set = materialize(
+        code_set.select(column(code).cast("string").alias(code), *[column(c) for c in labels]).filter(column(code).isNotNull()), "codes"
+    )
+    rows, distinct = code_set.agg(F.count(F.lit(1)), F.count_distinct(column(code))).first()
+    if 0 < rows <= MAPPED_CODES and rows == distinct:
+        known_codes = code_set.collect()  # at most MAPPED_CODES rows
+
+        def mapped(label: str) -> Column:
+            by_code = X.literal_map({r[code]: r[label] for r in known_codes})
+            found = F.transform(F.split(column(codes), ", "), lambda c: F.try_element_at(by_code, c))
+            return F.coalesce(F.array_join(found, "; "), F.lit(""))
+
+        return df.withColumns({name: mapped(label) for label, name in labels.items()})
     exploded = df.select(column(key), F.posexplode(F.split(column(codes), ", ")).alias("__pos", "__code"))
     lookup = code_set.select(
         column(code).cast("string").alias("__code"), *[column(c).alias(n) for c, n in labels.items()]

@@ -56,14 +56,18 @@ def number_rows(
 ) -> DataFrame:
     """``row_number`` within groups that no single task has to sort as a whole.
 
-    The largest group is measured first. Groups of moderate size take a plain window. If one is
-    larger, rows are range-partitioned on (keys, order), numbered inside each range, and shifted
+    The rows are written once, so that they are not computed again for the measurement. If there are more than a task may sort, the
+    largest group is measured; groups of moderate size take a plain window. If one is larger, rows are range-partitioned on (keys, order), numbered inside each range, and shifted
     by the number of rows of the same group in earlier ranges. ``bounded`` tells that the whole
     frame was measured to be small.
     """
     keys = list(keys)
     limit = GROUP_ROWS if group_rows is None else group_rows
-    largest = 0 if bounded else df.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    largest = 0
+    if not bounded:
+        df, size = materialize_measured(df, "numbered")
+        if size.rows > limit:
+            largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
     if largest is None or largest <= limit:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
