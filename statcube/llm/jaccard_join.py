@@ -41,7 +41,7 @@ _rng = np.random.default_rng(20240501)
 _FACTORS = (_rng.integers(0, 2**31, TREES * DEPTH, dtype=np.uint32) * 2 + 1).astype(np.uint32)
 _SHIFTS = _rng.integers(0, 2**32, TREES * DEPTH, dtype=np.uint64).astype(np.uint32)
 _MIX = _rng.integers(0, 2**63, SHINGLE_WORDS + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_REMEMBERED = 300_000
+_REMEMBERED = 150_000
 _words: dict[str, int] = {}
 
 
@@ -107,6 +107,7 @@ def _signatures(docs: DataFrame, identifier: str, text: str) -> DataFrame:
                 found = shingles(value)
                 keys.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
                 labels.append(tree_labels(found) if len(found) else np.zeros(0, np.int64))
+            _words.clear()  # the worker lives on with other stages
             ends = np.concatenate([[0], np.cumsum([len(x) for x in labels])]).astype(np.int32)
             flat = np.concatenate(labels) if labels else np.zeros(0, np.int64)
             arrays = [batch.column(0), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
@@ -196,6 +197,7 @@ def _verified(docs: DataFrame, identifier: str, text: str, members: DataFrame, t
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = pa.array([shingles(v).tobytes() for v in texts_of(batch.column(0))], pa.binary())
+            _words.clear()
             yield pa.RecordBatch.from_arrays([sets, *batch.columns[1:]], ["set", *batch.schema.names[1:]])
 
     sets = whole.select("__text", "component", "node", "group_size", "pieces", "piece").mapInArrow(
