@@ -32,12 +32,12 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts only the row with the largest id stays."""
+    """Of equal texts only one row stays: the largest id, rows without an id last, then the first row."""
     return drop_copies(docs)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates only the row with the least id stays."""
+    """Of each group of near duplicates only one row stays: the least id, rows without an id last, then the first row."""
     ship_package(spark)
     return drop_near_duplicates(docs)
 

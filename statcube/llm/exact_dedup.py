@@ -26,6 +26,13 @@ FAN_IN = 8
 LEAST_RUNS = 64
 
 _KEY = ["__digest", "__length", "__second"]
+#: Number of a row in a written table; tells rows apart that share an id or have none.
+ROW = "__row"
+
+
+def number_written(docs: DataFrame) -> DataFrame:
+    """The rows as a written table with ``__row``, so that the numbers don't change between two uses."""
+    return materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "documents")
 
 
 def digest_rows(docs: DataFrame, identifier: str, text: Column, carried: list[Column] | None = None) -> DataFrame:
@@ -85,13 +92,16 @@ def exact_dedup(docs: DataFrame, identifier: str = "doc_id", text: str = "text",
 
 
 def drop_copies(docs: DataFrame, identifier: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
+    """One row of ``docs`` per text, with all its columns: the largest id, rows without an id last, then the first row.
 
-    The ids that go are removed by an anti-join on the id: as long as they are measured to be few, no text is shuffled.
-    A row without an id stays.
+    Rows are numbered once and the verdict is on the row number, so rows that share an id or have none are judged by their
+    texts. As long as the rows that go are measured to be few, no text is shuffled to remove them.
     """
-    gone = exact_dedup(docs, identifier, text).filter("NOT kept").select(identifier)
-    return lookup_join(docs, gone, [identifier], "left_anti")
+    docs = number_written(docs)
+    place = F.struct(F.col(identifier).alias("id"), (-F.col(ROW)).alias("row"))
+    found = exact_dedup(docs.select(place.alias("__place"), text), "__place", text)
+    gone = found.filter("NOT kept").select((-F.col("__place.row")).alias(ROW))
+    return lookup_join(docs, gone, [ROW], "left_anti").drop(ROW)
 
 
 def op6(spark, folder):

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statcube.llm.exact_dedup import merge_runs
+from statcube.llm.exact_dedup import ROW, merge_runs, number_written
 from statcube.llm.shared import Query, sorted_groups, table, texts_of
 from statcube.operators.joins import lookup_join
 from statcube.sources.scratch import materialize, materialize_counted
@@ -277,9 +277,18 @@ def near_duplicates(docs: DataFrame, identifier: str = "doc_id", text: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, identifier: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` with the least id of their class, with all their columns."""
-    gone = near_duplicates(docs, identifier, text).filter(F.col(identifier) != F.col("class_id")).select(identifier)
-    return lookup_join(docs, gone, [identifier], "left_anti")
+    """One row of ``docs`` per class, with all its columns: the least id, rows without an id last, then the first row.
+
+    Classes are of rows, numbered once, and not of ids: rows that share an id are one class only if their texts are linked,
+    and a row without an id belongs to the class of its text. A row without words stays.
+    """
+    docs = number_written(docs)
+    found = near_duplicates(docs, ROW, text).filter("n_links > 0").select(ROW, "class_id")
+    linked = materialize(found.join(docs.select(ROW, F.col(identifier).alias("__id")), ROW), "linked")
+    first = F.min(F.struct(F.col("__id").isNull().alias("missing"), "__id", ROW))
+    stay = linked.groupBy("class_id").agg(first.alias("first")).select(f"first.{ROW}")
+    gone = linked.join(stay, ROW, "left_anti").select(ROW)
+    return lookup_join(docs, gone, [ROW], "left_anti").drop(ROW)
 
 
 def op8(spark, folder):

@@ -167,6 +167,24 @@ def test_pipeline_stages_against_brute_force(spark):
     assert {r.doc_id for r in packed} == {r.doc_id for r in before}
 
 
+def test_stages_judge_rows_not_ids(spark):
+    """Shared ids, missing ids and repeated rows: one row per text, and no text is lost."""
+    near = [f"w{k}" for k in range(60)]
+    texts = {"a": "a", "b": "b", "n": " ".join(near), "m": " ".join(near[:-1] + ["z"]), "u": " ".join(near[::-1])}
+    rows = [(4, "a"), (4, "b"), (9, "a"), (None, "a"), (5, "n"), (6, "m"), (6, "u"), (None, "m"), (7, "c"), (7, "c"), (None, "d"), (None, "d"), (1, None), (None, "")]
+    docs = spark.createDataFrame([(i, texts.get(t, t), k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, k int").repartition(3)
+    exact = corpus_pipeline.materialize(corpus_pipeline.exact_stage(spark, docs, SMALL), "exact")
+    named = {v: k for k, v in texts.items()}
+    assert exact.columns == docs.columns
+    want = [(1, None), (4, "b"), (5, "n"), (6, "m"), (6, "u"), (7, "c"), (9, "a"), (None, "d")]
+    assert sorted(((r.doc_id, named.get(r.text, r.text)) for r in exact.collect()), key=repr) == sorted(want, key=repr)
+    # The near stage alone, on all rows: those without words link to nothing.
+    alone = corpus_pipeline.near_stage(spark, docs, SMALL)
+    assert alone.columns == docs.columns
+    want = [(1, None), (None, ""), (4, "a"), (4, "b"), (5, "n"), (6, "u"), (7, "c"), (None, "d")]
+    assert sorted(((r.doc_id, named.get(r.text, r.text)) for r in alone.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_stages_cope_with_no_documents(spark):
     docs = table(spark, SMALL, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
