@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from statcube.llm.shared import Query, id_fold, table, texts_of
 
 UNKNOWN = "und"
-#: Labelled texts from which the classifiers are fitted, about (a random sample of all labelled rows).
+#: Labelled texts from which the classifiers are fitted, about (a random sample in equal parts from all languages).
 SAMPLE_ROWS = 2500
+#: Labelled texts of a language that are drawn at least, about, however many languages there are.
+LEAST_ROWS = 10
 BUCKETS = 4096
 #: Below this confidence a prediction is flagged as ambiguous.
 CLEAR_SCORE = 0.5
@@ -127,12 +129,15 @@ def fit(rows: np.ndarray, labels: list[str], rounds: int = 120, rate: float = 8.
 def learn_languages(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS, seed: int = 5) -> LanguageModel:
     """Model from a random sample of about ``sample_rows`` labelled texts; n-gram shares are made by the tasks.
 
-    Rows without a language and texts without letters teach nothing.
+    Languages are counted over all labelled rows and each gets an equal part of the sample, all its rows if it has fewer, so every
+    language with a text to learn from is known to the model. Rows without a language and texts without letters teach nothing.
     """
     labelled = labelled.filter(F.col(lang).isNotNull()).select(F.col(text).alias("t"), F.col(lang).alias("l"))
-    total = labelled.count()
-    if not total:
+    counts = {r[0]: r[1] for r in labelled.groupBy("l").count().collect()}
+    if not counts:
         return fit(np.zeros((0, BUCKETS), np.float32), [])
+    quota = max(LEAST_ROWS, sample_rows / len(counts))
+    shares = {name: min(1.0, quota / n) for name, n in counts.items()}
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,9 +151,14 @@ def learn_languages(labelled: DataFrame, text: str = "text", lang: str = "lang",
                     values.append(found[at].astype("<f2").tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(places, pa.binary()), pa.array(values, pa.binary())], ["l", "p", "v"])
 
-    sample = labelled.sample(min(1.0, sample_rows / total), seed).mapInArrow(encode, "l string, p binary, v binary")
+    schema = "l string, p binary, v binary"
+    found = labelled.sampleBy("l", shares, seed).mapInArrow(encode, schema).collect()
+    # A language of which nothing was drawn that has a letter is looked through as a whole.
+    for name in sorted(counts.keys() - {r[0] for r in found}):
+        if shares[name] < 1:
+            found += labelled.filter(F.col("l") == name).mapInArrow(encode, schema).limit(int(quota)).collect()
     # The order of what the tasks return must not matter to the fit.
-    found = sorted((r[0], bytes(r[1]), bytes(r[2])) for r in sample.collect())
+    found = sorted((r[0], bytes(r[1]), bytes(r[2])) for r in found)
     rows = np.zeros((len(found), BUCKETS), np.float32)
     for k, (_, at, values) in enumerate(found):
         rows[k, np.frombuffer(at, "<u2")] = np.frombuffer(values, "<f2")

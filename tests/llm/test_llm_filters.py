@@ -170,6 +170,15 @@ def test_languages_of_odd_texts(spark):
     assert single.predict("abc") == ("xx", 1.0, False)
 
 
+def test_rare_languages_are_learned(spark):
+    """A language is known whatever its share of the labelled rows, and if most of its texts have no letter."""
+    rows = spark.range(6000).selectExpr("concat('the house number ', id) AS text", "IF(id % 2 = 0, 'en', 'xx') AS lang")
+    rare = spark.createDataFrame([("ein seltenes wort", "de")], "text string, lang string")
+    bare = spark.range(3000).selectExpr("IF(id = 2999, 'un mot', concat('1 ', id)) AS text", "'fr' AS lang")
+    model = language_id.learn_languages(rows.unionByName(rare).unionByName(bare), sample_rows=40)
+    assert model.languages == ("de", "en", "fr", "xx")
+
+
 def test_codewords_differ():
     for n in (2, 4, 6, 30):
         code = language_id.codewords(n)
