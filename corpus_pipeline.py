@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from statcube.llm.exact_dedup import drop_copies
 from statcube.llm.jaccard_join import drop_near_duplicates
-from statcube.llm.language_id import UNKNOWN, identify, learn_languages, training_rows
+from statcube.llm.language_id import UNKNOWN, has_letters, identify, learn_languages, training_rows
 from statcube.llm.packing import pack_documents
 from statcube.llm.quality_classifier import learn_quality, quality_score, training_labels
 from statcube.llm.shared import ship_package, table
@@ -18,9 +18,12 @@ from statcube.sources.scratch import materialize
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without letters, and those whose language is ambiguous, go."""
+    """Texts without letters, and those whose language is ambiguous, go. If no language could be learned, none is ambiguous."""
     ship_package(spark)
-    found = identify(F.col("text"), learn_languages(training_rows(docs)))
+    model = learn_languages(training_rows(docs))
+    if not model.languages:
+        return docs.filter(has_letters(F.col("text")))
+    found = identify(F.col("text"), model)
     return docs.filter((found["lang_pred"] != UNKNOWN) & ~found["ambiguous"])
 
 

@@ -176,6 +176,15 @@ def identify(text: Column, model: LanguageModel) -> Column:
     return F.arrow_udf(run, "struct<lang_pred:string,score:double,ambiguous:boolean>")(text)
 
 
+def has_letters(text: Column) -> Column:
+    """Whether a text has a letter; a missing one has none."""
+
+    def run(column: pa.Array) -> pa.Array:
+        return pa.array([any(map(str.isalpha, value.lower())) for value in texts_of(column)], pa.bool_())
+
+    return F.arrow_udf(run, "boolean")(text)
+
+
 def training_rows(docs: DataFrame, identifier: str = "doc_id") -> DataFrame:
     """The rows to learn from: all but the held-out quarter. A row without an id is held out."""
     return docs.filter(F.coalesce(id_fold(F.col(identifier), 4) != 2, F.lit(False)))

@@ -185,6 +185,13 @@ def test_stages_judge_rows_not_ids(spark):
     assert sorted(((r.doc_id, named.get(r.text, r.text)) for r in alone.collect()), key=repr) == sorted(want, key=repr)
 
 
+def test_language_stage_without_any_language_keeps_texts_with_letters(spark):
+    texts = ["clean text", "éa", "1 2", "", None, "-", "7 字"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.language_stage(spark, docs, SMALL)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {0, 1, 6}
+
+
 def test_stages_cope_with_no_documents(spark):
     docs = table(spark, SMALL, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
