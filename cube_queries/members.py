@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cube_queries.cubes import (
@@ -26,8 +25,12 @@ from statcube.operators.enrich import (
     describe_cube,
     fold_in_metadata,
 )
+from statcube.operators.joins import number_rows
 from statcube.plans.pipelines import normalize_cube
 
+#: Members beyond which their places are numbered in ranges.
+PLACED_ROWS = 1000
+
 _PATHS = """paths AS (
     SELECT member_id, member_name, parent_id, member_id AS path, parent_id AS above FROM part_members
     UNION ALL
@@ -365,6 +368,6 @@ def deep_hierarchy(spark, folder):
 )
 def numeric_order(spark, folder):
     """Text ids in the order of their numbers, with the place of each."""
-    members = M.in_numeric_order(part_members(spark, folder), "member_id")
-    place = F.rank().over(Window.partitionBy("dim_id").orderBy(M.member_order()))
-    return members.select("member_id", place.cast("bigint").alias("place"))
+    # Ids are unique, so the row number is the rank; all members lie in one group, so even a small one is numbered in ranges.
+    placed = number_rows(part_members(spark, folder), ["dim_id"], [M.member_order()], "place", group_rows=PLACED_ROWS)
+    return M.in_numeric_order(placed, "member_id").select("member_id", F.col("place").cast("bigint").alias("place"))

@@ -27,3 +27,11 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert spark_entry.entry(spark).count() > 0
+
+
+def test_places_of_many_members_are_numbered_in_ranges(spark):
+    folder = SMALL.replace("0.001", "0.01")
+    placed = QUERIES["numeric_order"](spark, folder)
+    assert "__range" in placed._jdf.queryExecution().analyzed().toString()
+    rows, difference = check(spark, duck(folder), folder, QUERIES["numeric_order"], ORACLES["numeric_order"])
+    assert difference is None and rows > 2000
