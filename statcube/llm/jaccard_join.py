@@ -1,9 +1,10 @@
-"""Near duplicates: an n-gram Jaccard join by a MinHash LSH forest with exact verification.
+"""Near duplicates: an n-gram Jaccard join by MinHash banding with exact verification.
 
-Texts become sets of word shingles. ``TREES`` tries hold a label of ``DEPTH`` small minhash values per set, packed into one
-number so that sorted numbers are the sorted trie and a shorter prefix is a right shift. The matched prefix is
-shortened from the full depth until a pair at the threshold shares a node of some trie with at least the target
-recall; sets under a common node of that depth are candidates.
+Texts become sets of word shingles. Each of ``TREES`` labels of a set packs ``DEPTH`` small minhash values into one
+number, so that a shorter prefix is a right shift. The length of the prefix is fixed in advance, from threshold, number of labels and target
+recall alone: the longest at which a pair at the threshold shares the prefix of some label with at least the target recall. By
+the defaults these are 40 bands of 5 values; the sixth value is not used. Sets under a common prefix are candidates. This is
+no LSH forest: no sorted trie is gone down, and nothing that was matched changes the length.
 
 Links are then verified exactly, without a row per pair. Equal sets are one class. Classes joined by candidate nodes
 form candidate components (stars to the least member, min-label propagation with shortcuts). The sets of a component are cut into
