@@ -9,10 +9,12 @@ so reach over any number of blocks.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -68,10 +70,56 @@ def write_token_files(docs: DataFrame, encode: Callable[[], Callable[[str], byte
     rows.write.partitionBy("kind").option("compression", "zstd").parquet(folder)
 
 
-def raw_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """Blocks of plain binary token files (a file each, below 2 GB): ``file``, ``block``, ``tokens``."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.select(F.col("path").alias("file"), F.lit(0).cast("long").alias("block"), F.col("content").alias("tokens"))
+def _opened(file: str) -> pa.NativeFile:
+    """A file for reading in ranges: local paths directly, other stores by the file system that pyarrow has for them."""
+    local = re.match(r"file:/*(/.*)", file, re.DOTALL)
+    system, place = (fs.LocalFileSystem(), local[1]) if local else fs.FileSystem.from_uri(file)
+    return system.open_input_file(place)
+
+
+def _in_ranges(file: str) -> bool:
+    try:
+        _opened(file).close()
+    except (OSError, ValueError, NotImplementedError):
+        return False
+    return True
+
+
+def _read_range(file: str, start: int, size: int) -> bytes:
+    with _opened(file) as source:
+        found = source.read_at(size, start)
+    if len(found) != size:
+        raise OSError(f"{file} has no {size} bytes at {start}")
+    return found
+
+
+def raw_token_files(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS, token_type: str = TOKEN_TYPE) -> DataFrame:
+    """Blocks of plain binary token files of any size: ``file``, ``block``, ``tokens``.
+
+    Only paths and lengths are listed; each task reads its own byte ranges, one block at a time. That needs a shared folder or a
+    store that pyarrow reaches; files of other stores, which only Spark's readers reach, are still read whole (below 2 GB each). Empty files give no block.
+    """
+    step = block_tokens * np.dtype(token_type).itemsize
+    files = spark.read.format("binaryFile").load(path).filter("length > 0").select(F.col("path").alias("file"), "length")
+    store = F.regexp_extract("file", r"^([^:/]*:(?://[^/]*)?)", 1)
+    stores = files.groupBy(store.alias("store")).agg(F.min("file")).collect()
+    others = [r[0] for r in stores if not _in_ranges(r[1])]
+    if others:
+        content = spark.read.format("binaryFile").load(path).withColumnRenamed("path", "file").filter(store.isin(others) & (F.col("length") > 0))
+        whole = content.select("file", F.lit(0).cast("long").alias("block"), F.col("content").alias("tokens"))
+        files = files.filter(~store.isin(others))
+    ranges = files.select("file", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / step))).alias("block"))
+    # With a number, so that adaptive execution does not put these short rows into one task.
+    ranges = ranges.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "file", "block")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file, length, block in zip(*(column.to_pylist() for column in batch.columns)):
+                tokens = _read_range(file, block * step, min(step, length - block * step))
+                yield pa.RecordBatch.from_pydict({"file": pa.array([file]), "block": pa.array([block], pa.int64()), "tokens": pa.array([tokens], pa.binary())})
+
+    found = ranges.mapInArrow(read, "file string, block long, tokens binary")
+    return found.unionByName(whole) if others else found
 
 
 def scan_separators(blocks: DataFrame, end: int = END_OF_DOCUMENT, token_type: str = TOKEN_TYPE) -> DataFrame:

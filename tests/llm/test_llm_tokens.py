@@ -173,6 +173,28 @@ def test_raw_token_files(spark, tmp_path):
     assert sorted((r.ordinal, r.n_tokens, r.terminated) for r in found) == [(0, 1, True), (1, 0, True), (2, 2, True), (3, 1, False)]
 
 
+def test_raw_token_files_of_other_stores_are_read_whole(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_counts, "_in_ranges", lambda file: False)
+    (tmp_path / "a.bin").write_bytes(np.asarray([3, 9, 9, 4], "<u2").tobytes())
+    found = token_counts.raw_token_files(spark, str(tmp_path), block_tokens=2).collect()
+    assert [(r.block, len(r.tokens)) for r in found] == [(0, 8)]
+
+
+def test_raw_token_files_are_read_in_ranges(spark, tmp_path):
+    flat = [np.random.default_rng(k).integers(0, 12, size).astype("<u2") for k, size in enumerate((1, 8, 9, 1000))]
+    (tmp_path / "of tokens").mkdir()
+    for k, tokens in enumerate(flat):
+        (tmp_path / "of tokens" / f"f{k}.bin").write_bytes(tokens.tobytes())
+    blocks = token_counts.raw_token_files(spark, str(tmp_path / "of tokens"), block_tokens=8)
+    assert sorted((r.file[-6:], r.block, len(r.tokens)) for r in blocks.collect()) == [(f"f{k}.bin", b, 2 * len(t[8 * b : 8 * b + 8])) for k, t in enumerate(flat) for b in range(-(-len(t) // 8))]
+    want = []
+    for k, tokens in enumerate(flat):
+        ends = np.flatnonzero(tokens == 9)
+        lengths = np.diff(np.concatenate([[-1], ends, [len(tokens)]])) - 1
+        want += [(f"f{k}.bin", n, int(size), n < len(ends)) for n, size in enumerate(lengths) if n < len(ends) or size]
+    assert sorted((r.file[-6:], r.ordinal, r.n_tokens, r.terminated) for r in token_counts.scan_separators(blocks, 9).collect()) == want
+
+
 def digests(turns):
     learned = "".join(x for r, x in turns if r == "assistant")
     return len(turns), hashlib.sha256("".join(f"{r}\n{x}\n" for r, x in turns).encode()).hexdigest(), len(learned), hashlib.sha256(learned.encode()).hexdigest()
