@@ -10,6 +10,7 @@ from statcube.llm import (
     bpe,
     chat_format,
     exact_dedup,
+    hard_negatives,
     jaccard_join,
     language_id,
     packing,
@@ -20,7 +21,7 @@ from statcube.llm import (
 )
 from statcube.llm.shared import Query, ship_package
 
-_MODULES = (quality_rules, packing, token_counts, language_id, quality_classifier, exact_dedup, bpe, jaccard_join, chat_format, url_filters)
+_MODULES = (quality_rules, packing, token_counts, language_id, quality_classifier, exact_dedup, bpe, jaccard_join, chat_format, url_filters, hard_negatives)
 
 
 def shipped(fn: Query) -> Query:
