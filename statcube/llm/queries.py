@@ -14,6 +14,7 @@ from statcube.llm import (
     jaccard_join,
     language_id,
     packing,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     token_counts,
@@ -21,7 +22,7 @@ from statcube.llm import (
 )
 from statcube.llm.shared import Query, ship_package
 
-_MODULES = (quality_rules, packing, token_counts, language_id, quality_classifier, exact_dedup, bpe, jaccard_join, chat_format, url_filters, hard_negatives)
+_MODULES = (quality_rules, packing, token_counts, language_id, quality_classifier, exact_dedup, bpe, jaccard_join, chat_format, url_filters, periodic_runs, hard_negatives)
 
 
 def shipped(fn: Query) -> Query:
