@@ -364,7 +364,7 @@ def op12(spark, folder):
         "best.start",
         "best.length",
         "best.period",
-        F.floor(F.col("best.length") * 1000 / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
