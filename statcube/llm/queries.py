@@ -15,6 +15,7 @@ from statcube.llm import (
     language_id,
     packing,
     periodic_runs,
+    personal_data,
     quality_classifier,
     quality_rules,
     token_counts,
@@ -22,7 +23,7 @@ from statcube.llm import (
 )
 from statcube.llm.shared import Query, ship_package
 
-_MODULES = (quality_rules, packing, token_counts, language_id, quality_classifier, exact_dedup, bpe, jaccard_join, chat_format, url_filters, periodic_runs, hard_negatives)
+_MODULES = (quality_rules, packing, token_counts, language_id, quality_classifier, exact_dedup, bpe, jaccard_join, chat_format, url_filters, personal_data, periodic_runs, hard_negatives)
 
 
 def shipped(fn: Query) -> Query:
