@@ -225,6 +225,8 @@ class RunFinder:
 
 def find_runs(numbers: np.ndarray, least: int = LEAST_LENGTH, exponent: int = EXPONENT) -> list[Run]:
     """All runs as (start, length, period), by start, then period."""
+    if exponent < 3:
+        raise ValueError("a run holds a square at the boundary only if it has three periods")
     window = least - least // exponent
     stretches = repeated_stretches(numbers, window, least)
     if not stretches:
