@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cube_queries.cubes import ORDERS_CUBE, PART_CUBE, orders_facts, orders_members, part_facts, returns_wide
@@ -178,3 +183,87 @@ def stored_sizes(spark, folder):
     listed = St.cube_registry(spark, root).join(sizes, "cube_id")
     # The listed bytes also hold the checksums and marker files of the folder.
     return listed.select("cube_id", F.col("bytes").between(F.col("length"), F.col("length") * 1.2 + 100_000).alias("plausible"))
+
+
+@query(
+    "concurrent_appends",
+    with_tables(["orders_facts"], """SELECT "VECTOR", "REF_DATE", "VALUE", "GEO" FROM orders_facts"""),
+)
+def concurrent_appends(spark, folder):
+    """A cube in one stored and six appended parts; the appends run at the same time, and a rewrite of the cube among them."""
+    root = new_store(spark)
+    facts = orders_facts(spark, folder).withColumn("__share", F.pmod(F.xxhash64("VECTOR", "REF_DATE"), F.lit(7)))
+    St.store_cube(facts.filter("__share = 0").drop("__share"), root, ORDERS_CUBE, partition_by=["GEO"])
+
+    def work(share):
+        if share == 7:
+            St.compact_cube(spark, root, ORDERS_CUBE)
+        else:
+            St.append_to_cube(facts.filter(F.col("__share") == share).drop("__share"), root, ORDERS_CUBE)
+
+    with ThreadPoolExecutor(7) as pool:
+        list(pool.map(work, range(1, 8)))
+    return St.open_cube(spark, root, ORDERS_CUBE).select("VECTOR", "REF_DATE", "VALUE", "GEO")
+
+
+_REVISED = """SELECT "VECTOR", "REF_DATE", "GEO", CASE WHEN "GEO" = 'NATION_3' THEN "VALUE" + 1 ELSE "VALUE" END AS "VALUE"
+              FROM orders_facts WHERE "GEO" <> 'NATION_5' """
+
+
+def _revised(spark, folder):
+    """The orders cube as published again: one place changed, one gone."""
+    value = F.when(F.col("GEO") == "NATION_3", F.col("VALUE") + 1).otherwise(F.col("VALUE"))
+    return orders_facts(spark, folder).filter("GEO <> 'NATION_5'").withColumn("VALUE", value)
+
+
+@query("refresh_changed", with_tables(["orders_facts"], _REVISED))
+def refresh_changed(spark, folder):
+    """A refresh after a new release; only partitions that differ are written."""
+    root = _store_orders(spark, folder, partition_by=["GEO"])
+    released = datetime(2999, 1, 1)
+    rows = St.open_current(spark, root, ORDERS_CUBE, lambda: _revised(spark, folder), refresh="auto", released=released)
+    return rows.select("VECTOR", "REF_DATE", "GEO", "VALUE")
+
+
+@query(
+    "refresh_log",
+    with_tables(
+        ["orders_facts"],
+        """SELECT 1 AS step, count(DISTINCT "GEO")::BIGINT AS written, 0::BIGINT AS removed FROM orders_facts
+           UNION ALL SELECT 2, (max("GEO" = 'NATION_3'))::BIGINT, max("GEO" = 'NATION_3')::BIGINT + max("GEO" = 'NATION_5')::BIGINT FROM orders_facts
+           UNION ALL SELECT 3, 0, 0""",
+    ),
+)
+def refresh_log(spark, folder):
+    """What the log says of a store, a refresh with one place changed and one gone, and a refresh without a change."""
+    root = _store_orders(spark, folder, partition_by=["GEO"])
+    for _ in range(2):
+        St.open_current(spark, root, ORDERS_CUBE, lambda: _revised(spark, folder), refresh=True)
+    steps = St.cube_versions(spark, root, ORDERS_CUBE)
+    step = F.row_number().over(Window.orderBy("time_cached"))
+    return steps.select(step.alias("step"), F.col("pieces_added").alias("written"), F.col("pieces_removed").alias("removed"))
+
+
+@query(
+    "dropped_by_frame",
+    with_tables(
+        ["orders_facts", "part_facts"],
+        f"""SELECT 'dropped, as of before' AS state, count(*) AS n FROM part_facts
+            UNION ALL SELECT 'kept', count(*) FROM orders_facts
+            UNION ALL SELECT 'listed', 1""",
+    ),
+)
+def dropped_by_frame(spark, folder):
+    """Drop the cubes of a filtered registry frame; the dropped one can still be read as of before, until it is released."""
+    root = _store_orders(spark, folder, partition_by=["GEO"])
+    St.store_cube(part_facts(spark, folder), root, PART_CUBE, title="Parts")
+    listed = St.registry_entries(spark, root)
+    before = listed.agg(F.max("time_cached")).first()[0]
+    St.drop_cubes(spark, root, listed.filter("title = 'Parts'"))
+    counts = {
+        "dropped, as of before": St.open_cube(spark, root, PART_CUBE, as_of=before),
+        "kept": St.open_cube(spark, root, ORDERS_CUBE),
+        "listed": St.cube_registry(spark, root),
+    }
+    frames = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("state"), "n") for name, df in counts.items()]
+    return reduce(DataFrame.unionByName, frames)

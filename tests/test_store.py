@@ -1,3 +1,4 @@
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pytest
@@ -50,7 +51,9 @@ def test_repartition(spark, tmp_path):
     assert rows(after) == before
     entry = St.registry_entries(spark, root).first()
     assert entry.partitioning == ["REF_DATE"] and entry.title == "T"
-    assert len(list((tmp_path / "data").iterdir())) == 1
+    assert len(list((tmp_path / "data").iterdir())) == 2
+    assert St.release_versions(spark, root) == 1 and St.release_versions(spark, root) == 0
+    assert len(list((tmp_path / "data").iterdir())) == 1 and rows(St.open_cube(spark, root, "20-10-0001")) == before
 
 
 def test_registry_freshness_and_drop(spark, tmp_path):
@@ -106,7 +109,7 @@ def test_refresh_policy(spark, tmp_path):
 
 def test_only_datasets_of_the_store_can_be_removed(spark, tmp_path):
     with pytest.raises(ValueError, match="outside the store"):
-        St._remove_dataset(spark, str(tmp_path / "store"), str(tmp_path / "elsewhere"))
+        St._remove_folder(spark, str(tmp_path / "store"), str(tmp_path / "elsewhere" / "cube_part=0"))
 
 
 def test_landed_files_are_imported_once(spark, tmp_path):
@@ -146,3 +149,73 @@ def test_imports_go_on_and_take_appends(spark, tmp_path):
     assert run().count() == 9
     sizes = St.cube_registry(spark, root).collect()
     assert len(sizes) == 1 and sizes[0].bytes > 0
+
+
+def test_appends_at_once_are_all_there(spark, tmp_path):
+    root = str(tmp_path)
+    St.store_cube(facts(spark), root, "20-10-0001", partition_by=["GEO"])
+    with ThreadPoolExecutor(5) as pool:
+        list(pool.map(lambda _: St.append_to_cube(facts(spark), root, "20-10-0001"), range(5)))
+    assert St.open_cube(spark, root, "20-10-0001").count() == 18
+    entry = St.registry_entries(spark, root).first()
+    assert entry.n_parts == 6
+    files = [f for f in (tmp_path / "data").rglob("*.parquet")]
+    assert entry.bytes == sum(f.stat().st_size for f in files)
+
+
+def test_cost_of_an_append_does_not_grow(spark, tmp_path):
+    """An append reads what opened the layout, not the log of earlier appends."""
+    root = str(tmp_path)
+    St.store_cube(facts(spark), root, "20-10-0001")
+    read = []
+    for _ in range(3):
+        St.append_to_cube(facts(spark), root, "20-10-0001")
+        read.append(len(St._log_of(spark, root, "20-10-0001", "eng", appends=False).inputFiles()))
+    assert read == [1, 1, 1]
+    assert len(St._log_of(spark, root, "20-10-0001", "eng").inputFiles()) == 4
+
+
+def test_two_replacements_at_once_conflict(spark, tmp_path):
+    root = str(tmp_path)
+    St.store_cube(facts(spark), root, "20-10-0001")
+    with St._replacing(spark, root, "20-10-0001", "eng"):
+        for replace in (lambda: St.store_cube(facts(spark), root, "20-10-0001"), lambda: St.refresh_cube(facts(spark), root, "20-10-0001"), lambda: St.repartition_cube(spark, root, "20-10-0001", ["GEO"])):
+            with pytest.raises(St.StoreConflict):
+                replace()
+        St.store_cube(facts(spark), root, "20-10-0002")
+        assert St.append_to_cube(facts(spark), root, "20-10-0001").count() == 6
+    assert St.repartition_cube(spark, root, "20-10-0001", ["GEO"])
+    assert St.open_cube(spark, root, "20-10-0001").count() == 6
+
+
+def test_refresh_writes_what_differs(spark, tmp_path):
+    root = str(tmp_path)
+    before = St.store_cube(facts(spark), root, "20-10-0001", partition_by=["GEO"])
+    first = rows(before)
+    assert St.refresh_cube(facts(spark).orderBy(F.rand(1)), root, "20-10-0001") == []
+    odd = spark.createDataFrame([("2022", None, None, "9.9", None), ("2022", "é [*]/x", None, "9.8", "4")], facts(spark).schema)
+    for new in (facts(spark).filter("GEO = 'A'").unionByName(odd), odd, facts(spark).limit(0), facts(spark)):
+        assert St.refresh_cube(new, root, "20-10-0001")
+        want = St.typed_for_store(new).select(*before.columns)
+        assert rows(St.open_cube(spark, root, "20-10-0001")) == rows(want)
+    steps = St.cube_versions(spark, root, "20-10-0001").orderBy("time_cached").collect()
+    assert [(s.pieces_added, s.pieces_removed) for s in steps] == [(2, 0), (2, 1), (0, 1), (0, 2), (2, 0)]
+    # The first version is whole until it is released.
+    assert rows(St.open_cube(spark, root, "20-10-0001", as_of=steps[0].time_cached)) == first
+    assert St.release_versions(spark, root) == 4
+    assert rows(St.open_cube(spark, root, "20-10-0001")) == first
+
+
+def test_drops_are_read_until_released(spark, tmp_path):
+    root = str(tmp_path)
+    cube = St.store_cube(facts(spark), root, "20-10-0001")
+    kept = St.store_cube(facts(spark), root, "20-10/0*2")
+    assert St.drop_cubes(spark, root, ["20-10-0001"]) == 1 and St.drop_cubes(spark, root, ["20-10-0001"]) == 0
+    with pytest.raises(ValueError, match="not in the store"):
+        St.open_cube(spark, root, "20-10-0001")
+    assert cube.count() == 3 and kept.count() == 3
+    assert St.release_versions(spark, root, before=datetime(2000, 1, 1)) == 0
+    assert St.release_versions(spark, root) == 1
+    assert [r.cube_id for r in St.registry_entries(spark, root).collect()] == ["20-10/0*2"]
+    assert St.store_cube(facts(spark), root, "20-10-0001").count() == 3
+    assert St.open_cube(spark, root, "20-10-0001").count() == 3
