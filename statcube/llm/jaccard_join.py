@@ -117,11 +117,23 @@ def _signatures(docs: DataFrame, identifier: str, text: str) -> DataFrame:
     return docs.select(F.col(identifier), F.col(text)).mapInArrow(sign, f"__id {id_kind}, __key binary, __labels array<long>")
 
 
+def _stars(edges: DataFrame) -> DataFrame:
+    """The same components in fewer edges: one from every node to the least head it names, and those between that head and its other heads.
+
+    ``u`` names heads ``v`` below it, a bounded number each. In a dense group most nodes name the same few heads, so that little but the stars is left.
+    """
+    least = F.array_min("heads")
+    others = F.transform(F.array_remove("heads", least), lambda h: F.struct(least.alias("u"), h.alias("v")))
+    pairs = F.concat(F.array(F.struct("u", least.alias("v"))), others)
+    return edges.groupBy("u").agg(F.collect_set("v").alias("heads")).select(F.inline(pairs)).distinct()
+
+
 def connected(edges: DataFrame) -> DataFrame:
-    """Connected components of edges (``u``, ``v``): ``node`` and ``root``, the least node of its component.
+    """Connected components of edges (``u``, ``v`` below it): ``node`` and ``root``, the least node of its component.
 
     Every round takes the least label of the neighbours and then the label's own label, and is written.
     """
+    edges = _stars(edges)
     both = materialize(edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "edges")
     labels = materialize(both.groupBy(F.col("u").alias("node")).agg(F.min(F.least("u", "v")).alias("root")), "labels")
     while True:
