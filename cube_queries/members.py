@@ -13,6 +13,7 @@ from cube_queries.cubes import (
     part_facts,
     part_members,
     table,
+    text,
 )
 from cube_queries.registry import query, with_tables
 from statcube.functions import expressions as X
@@ -257,6 +258,42 @@ def names_attached(spark, folder):
     return attach_member_names(bare, members).drop("cube_id")
 
 
+_MANY = 500
+_CUBE_OF_CUSTOMER = f"'30-10-' || lpad((c_custkey % {_MANY})::VARCHAR, 4, '0')"
+
+
+@query(
+    "names_of_many_cubes",
+    f"""SELECT c_custkey AS id, {_CUBE_OF_CUSTOMER} AS cube_id,
+               CASE WHEN c_nationkey < 20 THEN 'Place ' || (c_custkey % 50)::VARCHAR || '=' || 'N' || (c_nationkey + 1)::VARCHAR || '; ' ELSE '' END
+               || 'Kind ' || (c_custkey % {_MANY})::VARCHAR || '=' || 'K' || (length(c_mktsegment) % 7)::VARCHAR AS names
+        FROM customer""",
+)
+def names_of_many_cubes(spark, folder):
+    """Rows of 500 cubes with dimension names of their own: members of the first dimension beyond the twentieth are not in the metadata."""
+    number = F.col("c_custkey") % _MANY
+    cube = F.concat(F.lit("30-10-"), F.lpad(text(number), 4, "0"))
+    customers = table(spark, folder, "customer")
+    rows = customers.select(
+        F.col("c_custkey").alias("id"), cube.alias("cube_id"), F.concat_ws(".", text(F.col("c_nationkey") + 1), text(F.length("c_mktsegment") % 7)).alias("COORDINATE")
+    )
+    cubes = customers.select(number.alias("k"), cube.alias("cube_id")).distinct()
+
+    def dimension(d, name, first, last, letter):
+        member = cubes.withColumn("m", F.explode(F.sequence(F.lit(first), F.lit(last))))
+        return member.select(
+            "cube_id", F.lit(d).alias("dim_id"), name.alias("dim_name"), text(F.col("m")).alias("member_id"),
+            F.concat(F.lit(letter), text(F.col("m"))).alias("member_name"), F.lit(None).cast("string").alias("parent_id"),
+        )
+
+    places = dimension(1, F.concat(F.lit("Place "), text(F.col("k") % 50)), 1, 20, "N")
+    kinds = dimension(2, F.concat(F.lit("Kind "), text(F.col("k"))), 0, 6, "K")
+    named = attach_member_names(rows, places.unionByName(kinds))
+    added = [c for c in named.columns if c not in rows.columns]
+    pairs = F.filter(F.array(*[F.concat(F.lit(f"{c}="), F.col(f"`{c}`")) for c in added]), lambda x: x.isNotNull())
+    return named.select("id", "cube_id", F.array_join(F.reverse(F.array_sort(pairs)), "; ").alias("names"))
+
+
 def _part_categories(spark, folder):
     paths = M.build_hierarchy(part_members(spark, folder)).select(
         F.concat("member_name", F.lit(" #"), "member_id").alias("Part"),

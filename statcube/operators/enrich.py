@@ -288,42 +288,42 @@ def coordinate_names(
 def attach_member_names(
     df: DataFrame, members: DataFrame, language: str = "eng", categories: bool = False
 ) -> DataFrame:
-    """Member-name columns for (cube, coordinate) rows of any cubes, one join per dimension.
+    """Member-name columns for (cube, coordinate) rows of any cubes, one join per position whatever the number of cubes and names.
 
     Only dimensions of cubes that occur in the data give columns. A member that is not in the metadata leaves
-    NULL. ``categories`` adds ``<column>__ord``.
+    NULL, and of two dimensions of a cube with one name the first counts. ``categories`` adds ``<column>__ord``. If the members are too
+    many to be broadcast, the distinct coordinates are named first and the data are joined once.
     """
     coordinate = names_for(language).coordinate
     at_hand = members.join(df.select(CUBE_ID).distinct(), CUBE_ID, "left_semi")
     own, size = materialize_measured(at_hand, "members")
     bounded = fits_broadcast(size)
     labels = materialize(coordinate_names(own, language, bounded), "labels")
-    # One row per dimension of the cubes at hand.
-    fields = labels.select("dim_id", "field").distinct().orderBy("dim_id", "field").collect()
+    # One row per column of the result.
+    fields = [r["field"] for r in labels.groupBy("field").agg(F.min("dim_id").alias("at")).orderBy("at", "field").collect()]
+    positions = [int(r[0]) for r in labels.select("dim_id").distinct().orderBy("dim_id").collect()]
     attached = {"member_label": ""}
     if categories:
         attached["ord"] = ORDER_SUFFIX
-
-    def slot(row, suffix: str) -> str:
-        return f"__{row.dim_id}_{row.field}{suffix}"
-
-    result = df
-    for row in fields:
-        lookup = labels.filter((F.col("dim_id") == row.dim_id) & (F.col("field") == row.field)).select(
-            CUBE_ID,
-            F.col("member_id").alias(_MEMBER),
-            *[F.col(c).alias(slot(row, suffix)) for c, suffix in attached.items()],
-        )
-        keyed = result.withColumn(_MEMBER, X.coordinate_part(column(coordinate), int(row.dim_id)))
-        result = lookup_join(keyed, lookup, [CUBE_ID, _MEMBER], bounded=bounded).drop(_MEMBER)
-    merged: dict[str, list[Column]] = {}
-    for suffix in attached.values():
-        for row in fields:
-            merged.setdefault(row.field + suffix, []).append(column(slot(row, suffix)))
-    return result.select(
-        *[column(c) for c in df.columns],
-        *[F.coalesce(*parts).alias(field) for field, parts in merged.items()],
-    )
+    if not fields:
+        return df
+
+    named = df if bounded else df.select(CUBE_ID, column(coordinate)).distinct()
+    for d in positions:
+        lookup = labels.filter(F.col("dim_id") == d).select(CUBE_ID, F.col("member_id").alias(_MEMBER), F.struct("field", *attached).alias(f"__at_{d}"))
+        keyed = named.withColumn(_MEMBER, X.coordinate_part(column(coordinate), d))
+        named = lookup_join(keyed, lookup, [CUBE_ID, _MEMBER], bounded=bounded).drop(_MEMBER)
+    slots = F.array(*[F.col(f"__at_{d}") for d in positions])
+    # The first slot of a name counts; positions that a cube does not have are NULL.
+    names = F.transform(slots, lambda e: F.coalesce(e["field"], F.lit("")))
+    first = F.filter(slots, lambda e, i: e.isNotNull() & (F.array_position(names, e["field"]) == i + 1))
+    by_name = F.map_from_entries(F.transform(first, lambda e: F.struct(e["field"], e)))
+    named = named.withColumn("__names", by_name).drop(*[f"__at_{d}" for d in positions])
+    if not bounded:
+        key = F.struct(F.col(CUBE_ID), column(coordinate))
+        named = lookup_join(df.withColumn("__key", key), named.select(key.alias("__key"), "__names"), ["__key"], bounded=False).drop("__key")
+    given = [F.try_element_at("__names", F.lit(f))[source].alias(f + suffix) for source, suffix in attached.items() for f in fields]
+    return named.select(*[column(c) for c in df.columns], *given)
 
 
 def add_geo_abbreviation(df: DataFrame) -> DataFrame:
