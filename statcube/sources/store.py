@@ -45,6 +45,8 @@ from statcube.sources.scratch import materialize
 
 FORMAT = "parquet"
 PART = "cube_part"
+#: Suffix of the id under which the records that did not fit a cube's header are stored; both share one log.
+QUARANTINE = "~quarantine"
 # Header shape of value columns in semi-wide extracts.
 WIDE_VALUE = r" \(\d+[A-Z]*\):.+\[\d+\]$"
 #: A row of the log. ``stored`` opens a layout and ``appended`` adds a part; ``piece`` names a folder of one of these; ``removed`` ends a piece, or a
@@ -67,7 +69,7 @@ def _registry_path(root: str) -> str:
 
 
 def _cube_log(root: str, cube_id: str, language: str) -> str:
-    return f"{_registry_path(root)}/cubes/{quote(cube_id, safe='')}-{language}"
+    return f"{_registry_path(root)}/cubes/{quote(cube_id.removesuffix(QUARANTINE), safe='')}-{language}"
 
 
 def _new_dataset(root: str, cube_id: str, language: str) -> str:
@@ -207,6 +209,12 @@ def cube_versions(spark: SparkSession, root: str, cube_id: str, language: str =
     )
 
 
+def listed_parts(spark: SparkSession, root: str, cube_id: str, language: str = "eng") -> set[str]:
+    """Folders of all parts that were ever added to a cube, removed ones too."""
+    log = _log_of(spark, root, cube_id, language_code(language))
+    return {r.part for r in log.filter(F.col("action").isin("stored", "appended")).select("part").distinct().collect()}
+
+
 def _state(spark: SparkSession, root: str, cube_id: str, language: str, as_of: datetime | None = None) -> list:
     """The parts of one cube, one row each, those that open a layout last."""
     found = _parts(_log_of(spark, root, cube_id, language), as_of).collect()
@@ -271,14 +279,19 @@ def _laid_out(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[s
 
 def _replace(
     spark: SparkSession, root: str, cube_id: str, language: str, commit: str, part: str, removed: Iterable[tuple[str, str | None]],
-    partitioning: Sequence[str], schema_json: str, title: str | None,
+    partitioning: Sequence[str], schema_json: str, title: str | None, beside: dict | None = None,
 ) -> None:
-    """Commit a part in place of (part, piece) pairs, whole parts where the piece is None."""
+    """Commit a part in place of (part, piece) pairs, whole parts where the piece is None; ``beside`` describes a quarantined part."""
     now = datetime.now(timezone.utc)
     rows = _added(
         spark, part, "stored", cube_id=cube_id, language=language, commit=commit, time_cached=now, title=title, partitioning=list(partitioning), schema_json=schema_json
     )
+    if beside is not None:
+        rows = rows.unionByName(_added(spark, **beside, action="stored", cube_id=cube_id + QUARANTINE, language=language, commit=commit, time_cached=now))
     gone = [_removal(cube_id, language, commit, now, p, piece) for p, piece in removed]
+    if beside is not None:
+        held = [p for p in _part_names(spark, root, cube_id + QUARANTINE, language) if p != beside["part"]]
+        gone += [_removal(cube_id + QUARANTINE, language, commit, now, p) for p in held]
     _commit(spark, f"{_cube_log(root, cube_id, language)}/replaced", rows.unionByName(_rows(spark, gone)) if gone else rows, commit)
 
 
@@ -324,12 +337,14 @@ def _opening(spark: SparkSession, root: str, cube_id: str, language: str):
     return row if row is not None else _state(spark, root, cube_id, language)[-1]
 
 
-def _append_part(spark: SparkSession, root: str, cube_id: str, language: str, part: str, entry, commit: str | None = None) -> None:
-    commit = commit or uuid.uuid4().hex
+def _append_part(spark: SparkSession, root: str, cube_id: str, language: str, part: str, entry, beside: dict | None = None) -> None:
+    commit, now = uuid.uuid4().hex, datetime.now(timezone.utc)
     rows = _added(
-        spark, part, "appended", cube_id=cube_id, language=language, commit=commit, time_cached=datetime.now(timezone.utc),
+        spark, part, "appended", cube_id=cube_id, language=language, commit=commit, time_cached=now,
         title=entry["title"], partitioning=list(entry["partitioning"]), schema_json=entry["schema_json"],
     )
+    if beside is not None:
+        rows = rows.unionByName(_added(spark, **beside, action="appended", cube_id=cube_id + QUARANTINE, language=language, commit=commit, time_cached=now))
     _commit(spark, f"{_cube_log(root, cube_id, language)}/appended", rows, commit)
 
 
@@ -342,22 +357,32 @@ def register_part(
     schema: T.StructType,
     partition_by: Sequence[str] = (),
     title: str | None = None,
+    quarantined: str | None = None,
+    quarantine_schema: T.StructType | None = None,
 ) -> None:
-    """Register a written part of a cube.
+    """Register a written part of a cube, and the records that were set apart beside it: both by one commit, or neither.
 
     It is added to the stored cube if that lies in the same dataset folder, else it replaces it.
     A part that is listed already counts once, and one that was removed does not come back.
     """
+    beside = None
+    if quarantined is not None:
+        beside = {"part": quarantined, "title": title, "partitioning": [], "schema_json": quarantine_schema.json()}
     lang = language_code(language)
     entry = {"title": title, "partitioning": list(partition_by), "schema_json": schema.json()}
     layouts = _log_of(spark, root, cube_id, lang, appends=False).filter("action = 'stored'").select("part", "time_cached")
     latest = layouts.orderBy(F.desc("time_cached")).first()
     if latest is not None and dataset_folder(latest.part) == dataset_folder(folder):
-        _append_part(spark, root, cube_id, lang, folder, entry)
+        _append_part(spark, root, cube_id, lang, folder, entry, beside)
         return
     with _replacing(spark, root, cube_id, lang) as commit:
         before = [(p, None) for p in _part_names(spark, root, cube_id, lang) if p != folder]
-        _replace(spark, root, cube_id, lang, commit, folder, before, partition_by, schema.json(), title)
+        _replace(spark, root, cube_id, lang, commit, folder, before, partition_by, schema.json(), title, beside)
+
+
+def open_quarantine(spark: SparkSession, root: str, cube_id: str, language: str = "eng", as_of: datetime | None = None) -> DataFrame:
+    """Records that an import with ``quarantine`` set apart: their text and the file each came from."""
+    return open_cube(spark, root, cube_id + QUARANTINE, language, as_of)
 
 
 def append_to_cube(df: DataFrame, root: str, cube_id: str, language: str = "eng") -> DataFrame:

@@ -1,7 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from statcube.operators import joins
+from statcube.operators.enrich import attach_member_names
 from statcube.operators.joins import lookup_join, number_rows
 from statcube.sources.scratch import materialize_measured
 
@@ -81,3 +83,22 @@ def test_scratch_is_empty_after_release(spark, tmp_path, monkeypatch):
     assert list(tmp_path.rglob("*.parquet"))
     scratch.release_scratch(spark)
     assert not list(tmp_path.rglob("*.parquet"))
+
+
+@pytest.mark.parametrize("many", [False, True])
+def test_names_of_any_number_of_cubes_take_a_join_per_position(spark, many, request):
+    if many:
+        request.getfixturevalue("unbounded")
+    cubes = spark.range(60).selectExpr("concat('c', id) AS cube_id", "id")
+    members = cubes.selectExpr("cube_id", "explode(array(1, 2, 3)) AS dim_id", "id").selectExpr(
+        "cube_id", "dim_id", "concat('Dim ', id + dim_id) AS dim_name", "'7' AS member_id", "concat(cube_id, '-', dim_id) AS member_name", "CAST(NULL AS string) AS parent_id"
+    )
+    twice = spark.createDataFrame([("c0", 4, "Dim 1", "7", "second", None)], members.schema)
+    rows = cubes.selectExpr("cube_id", "'7.7.7.7' AS COORDINATE").unionByName(spark.createDataFrame([("c1", "7.8")], "cube_id string, COORDINATE string"))
+    named = attach_member_names(rows, members.unionByName(twice))
+    plan = named._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") <= (5 if many else 4)
+    found = {(r.cube_id, r.COORDINATE): {k: v for k, v in r.asDict().items() if v is not None and k.startswith("Dim")} for r in named.collect()}
+    assert len(named.columns) == 2 + 62
+    assert found[("c5", "7.7.7.7")] == {"Dim 6": "c5-1", "Dim 7": "c5-2", "Dim 8": "c5-3"}
+    assert found[("c1", "7.8")] == {"Dim 2": "c1-1"} and found[("c0", "7.7.7.7")]["Dim 1"] == "c0-1"
