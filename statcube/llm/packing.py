@@ -59,13 +59,13 @@ class LibraryWords:
         if "<|" in text or not _PLAIN.fullmatch(text):
             return np.asarray(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         words = _PLAIN_WORD.findall(text.lower())
-        try:
-            return b"".join(map(self._known.__getitem__, words))
-        except KeyError:
+        new = set(words).difference(self._known)  # most texts have a new word
+        if new:
             if len(self._known) > REMEMBERED_WORDS:
                 self._known.clear()
-            self._learn([w for w in set(words) if w not in self._known])
-            return b"".join(map(self._known.__getitem__, words))
+                new = set(words)
+            self._learn(list(new))
+        return b"".join(map(self._known.__getitem__, words))
 
     def _learn(self, new: list[str]) -> None:
         """New words go to the library in one text; each ends with the one token that marks a word's end."""
