@@ -216,6 +216,8 @@ def _verified(docs: DataFrame, identifier: str, text: str, members: DataFrame, t
     sets = whole.select("__text", "component", "node", "group_size", "pieces", "piece").mapInArrow(
         encode, f"set binary, component {id_kind}, node {id_kind}, group_size long, pieces int, piece int"
     )
+    # A row that is repeated word for word is one set of its node; its copies count by the size of the group.
+    sets = sets.dropDuplicates(["component", "node", "set"])
     other = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
     units = sets.withColumn("other", other).select(
         "component", F.least("piece", "other").alias("low"), F.greatest("piece", "other").alias("high"), "piece", "node", "group_size", "set"

@@ -200,4 +200,13 @@ def test_stages_cope_with_no_documents(spark):
 
 def test_every_operator_has_a_query():
     numbers = {int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
+
+
+def test_repeated_rows_with_a_near_copy_count_once(spark):
+    words = [f"w{k}" for k in range(60)]
+    near = " ".join([*words[:-1], "other"])
+    for rows in ([(1, words), (1, words), (2, near)], [(1, words), (3, words), (2, near)]):
+        docs = spark.createDataFrame([(i, t if isinstance(t, str) else " ".join(t)) for i, t in rows], "doc_id long, text string")
+        found = jaccard_join.near_duplicates(docs).select("class_id", "n_links", "n_text_links").collect()
+        assert [tuple(r) for r in found] == [(1, 2, 1)] * 3
