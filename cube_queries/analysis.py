@@ -210,6 +210,25 @@ def diff_tables(spark, folder):
     return A.diff_tables(trimmed, scaled.filter("REF_DATE <> '1995-01'"), ["VECTOR", "REF_DATE"])
 
 
+@query(
+    "diff_deliveries",
+    """WITH a AS (SELECT nullif(o_orderkey % 1000, 0) AS k, o_orderkey AS n, o_totalprice AS price, o_orderstatus AS status FROM orders WHERE o_orderkey % 7 <> 3),
+            b AS (SELECT nullif(o_orderkey % 1000, 0) AS k, o_orderkey AS n, CASE WHEN o_orderkey % 50 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS price,
+                         CASE WHEN o_orderkey % 40 <> 0 THEN o_orderstatus END AS status FROM orders WHERE o_orderkey % 11 <> 5)
+       SELECT count(*) FILTER (WHERE a.price <> b.price)::BIGINT AS price, count(*) FILTER (WHERE a.status <> b.status)::BIGINT AS status,
+              count(*) FILTER (WHERE b.n IS NULL)::BIGINT AS only_left, count(*) FILTER (WHERE a.n IS NULL)::BIGINT AS only_right
+       FROM a FULL JOIN b ON a.k IS NOT DISTINCT FROM b.k AND a.n = b.n""",
+)
+def diff_deliveries(spark, folder):
+    """Two deliveries of a cube: equal, changed and missing cells, rows of one side, and keys with a missing part."""
+    key, n = F.nullif(F.col("o_orderkey") % 1000, F.lit(0)).alias("k"), F.col("o_orderkey").alias("n")
+    orders = table(spark, folder, "orders")
+    first = orders.filter("o_orderkey % 7 <> 3").select(key, n, F.col("o_totalprice").alias("price"), F.col("o_orderstatus").alias("status"))
+    price = F.when(n % 50 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    second = orders.filter("o_orderkey % 11 <> 5").select(key, n, price.alias("price"), F.when(n % 40 != 0, F.col("o_orderstatus")).alias("status"))
+    return A.diff_tables(first, second, ["k", "n"])
+
+
 @query(
     "missing_cells",
     with_tables(

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from statcube.operators import joins
+from statcube.operators import analysis, joins
 from statcube.operators.enrich import attach_member_names
 from statcube.operators.joins import lookup_join, number_rows
 from statcube.sources.scratch import materialize_measured
@@ -102,3 +102,14 @@ def test_names_of_any_number_of_cubes_take_a_join_per_position(spark, many, requ
     assert len(named.columns) == 2 + 62
     assert found[("c5", "7.7.7.7")] == {"Dim 6": "c5-1", "Dim 7": "c5-2", "Dim 8": "c5-3"}
     assert found[("c1", "7.8")] == {"Dim 2": "c1-1"} and found[("c0", "7.7.7.7")]["Dim 1"] == "c0-1"
+
+
+def test_differences_join_only_what_differs(spark):
+    left = spark.range(2000).selectExpr("if(id % 500 = 0, NULL, id) AS k", "id AS n", "CAST(id AS double) AS v", "CAST(id AS string) AS w")
+    right = left.withColumn("v", F.when(F.col("n") == 77, -1.0).otherwise(F.col("v"))).filter("n <> 1500")
+    a, b = (analysis._digested(df, ["k", "n"], ["v", "w"], 512) for df in (left, right))
+    assert analysis.changed_buckets(a, b.orderBy(F.rand(3))).count() in (1, 2)
+    assert analysis.changed_buckets(a, a).isEmpty()
+    for buckets in (1, 512):
+        assert tuple(analysis.diff_tables(left, right, ["k", "n"], buckets).first()) == (1, 0, 1, 0)
+    assert tuple(analysis.diff_tables(left.limit(0), left.limit(0), ["k", "n"]).first()) == (0, 0, 0, 0)
