@@ -146,13 +146,14 @@ def pack_tokens(
     nearly_full: int = NEARLY_FULL,
     fan_in: int = FAN_IN,
     carried: int = CARRIED,
+    finish: Callable[[], None] | None = None,
 ) -> DataFrame:
     """Packed pieces: id, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``.
 
     ``encode`` makes, inside a task, a function from a text to little-endian unsigned 32-bit token numbers. A missing text
     counts as empty. Documents longer than ``capacity`` are cut, others stay whole; a document without any
     token (no end mark asked for) gives no piece. Rows that repeat are packed as often as they occur; other columns are ignored; an
-    empty table gives an empty result. A task holds a few numbers per piece of its partition.
+    empty table gives an empty result. A task holds a few numbers per piece of its partition. ``finish`` runs at the end of a task that encodes.
     """
     id_kind = docs.schema[identifier].dataType.simpleString()
     schema = f"node long, done boolean, fill long, members array<struct<id:{id_kind},piece:int,start:long,length:long,ids_crc32:long,offset:long>>"
@@ -172,6 +173,8 @@ def pack_tokens(
                     rows.append((piece, start, len(part) // 4, zlib.crc32(part)))
                     sources.append(k)
             ids.append(batch.column(0).take(pa.array(sources, pa.int64())))
+        if finish is not None:
+            finish()
         if not rows:
             return
         columns = np.asarray(rows, np.int64).reshape(-1, 4)
@@ -208,13 +211,19 @@ def pack_tokens(
     return numbered.select("sequence_id", F.explode("members").alias("m")).select(F.col("m.id").alias(identifier), "m.piece", "m.start", "m.length", "m.ids_crc32", "sequence_id", "m.offset")
 
 
-def pack_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """``pack_tokens`` of ``doc_id`` and ``text`` by the word-BPE tokenizer file."""
+def pack_documents(docs: DataFrame, path: str | None = None, forget: bool = False) -> DataFrame:
+    """``pack_tokens`` of ``doc_id`` and ``text`` by the word-BPE tokenizer file.
+
+    With ``forget`` a Python worker drops the words it remembers at the end of a task, for jobs in which it lives on with other stages.
+    """
 
     def encode() -> Callable[[str], bytes]:
         return library_words(path or tokenizer_file(TOKENIZER)).encode
 
-    return pack_tokens(docs, "doc_id", "text", encode)
+    def forget_words() -> None:
+        library_words(path or tokenizer_file(TOKENIZER))._known.clear()
+
+    return pack_tokens(docs, "doc_id", "text", encode, finish=forget_words if forget else None)
 
 
 def op2(spark, folder):
