@@ -48,7 +48,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that are left, packed into sequences."""
     ship_package(spark)
-    return pack_documents(docs)
+    return pack_documents(docs, forget=True)
 
 
 STAGES = [
