@@ -23,10 +23,14 @@ PASSAGE_WORDS = 64
 #: Labelled documents from which the model is learned, about (a random sample of all labels).
 SAMPLE_ROWS = 3000
 PAIR_BUCKETS = 512
+#: Parts of the labels, of which the sample takes as many as it needs.
+_SHARES = 1 << 40
 PROJECTED = 24
 HIDDEN = 24
 ATTENTION = 16
 _MEASURES = 12
+#: Passages that are encoded at a time.
+_SLICE = 4096
 _SIZE = _MEASURES + PROJECTED
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -54,46 +58,81 @@ def _projection() -> np.ndarray:
     return np.random.default_rng(3).normal(size=(PAIR_BUCKETS, PROJECTED)).astype(np.float32)
 
 
-def _spread(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-    return np.bincount(owner, weights=values, minlength=n)
+def _repeated_windows(codes: np.ndarray, width: int) -> np.ndarray:
+    """Which three-word windows occur more than once; ``codes`` are numbers of words below ``width``."""
+    pairs = codes[:-1].astype(np.int64)
+    pairs *= width
+    pairs += codes[1:]
+    if width >= 2**21:
+        pairs = np.unique(pairs, return_inverse=True)[1]
+    windows = pairs[:-1] * width
+    windows += codes[2:]
+    ordered = np.sort(windows)
+    twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    found = np.zeros(len(windows), bool)
+    if len(twice):
+        for at in range(0, len(windows), _SLICE * PASSAGE_WORDS):
+            part = windows[at : at + _SLICE * PASSAGE_WORDS]
+            place = np.minimum(np.searchsorted(twice, part), len(twice) - 1)
+            found[at : at + len(part)] = twice[place] == part
+    return found
 
 
 def passages(text: str) -> np.ndarray:
-    """Encoded passages of a whole text, a row each; a text without words is one passage of zeros."""
-    raw = text.encode("utf-8", "surrogatepass")
-    words = raw.split()
-    if not words:
+    """Encoded passages of a whole text, a row each; a text without words is one passage of zeros.
+
+    Passages are encoded ``_SLICE`` at a time. Of the whole text only the bytes, the starts and the numbers of its words and
+    their windows are held.
+    """
+    data = np.frombuffer(raw := text.encode("utf-8", "surrogatepass"), np.uint8)
+    space = _SPACE[data]
+    begins = ~space
+    begins[1:] &= space[:-1]
+    starts = np.flatnonzero(begins)
+    del space, begins
+    if not len(starts):
         return np.zeros((1, _SIZE), np.float32)
-    n = -(-len(words) // PASSAGE_WORDS)
-    owner = np.arange(len(words)) // PASSAGE_WORDS
-    count = np.bincount(owner, minlength=n).astype(np.float64)
+    n = -(-len(starts) // PASSAGE_WORDS)
     seen: dict[bytes, int] = {}
-    codes = np.fromiter((seen.setdefault(w, len(seen)) for w in words), np.int64, len(words))
+    codes = np.empty(len(starts), np.int32)
+    rows = np.empty((n, _SIZE), np.float32)
+    for first in range(0, n, _SLICE):
+        low, high = first * PASSAGE_WORDS, min((first + _SLICE) * PASSAGE_WORDS, len(starts))
+        begin, end = (int(starts[low]) if first else 0), (int(starts[high]) if high < len(starts) else len(raw))
+        words = raw[begin:end].split()
+        codes[low:high] = np.fromiter((seen.setdefault(w, len(seen)) for w in words), np.int32, len(words))
+        last = codes[low - 1] if low else -1
+        rows[first : first + _SLICE] = _encoded(data[begin : end + 1], end - begin, starts[low:high] - begin, codes[low:high], last, len(seen) + 1)
+    if len(codes) >= 3:
+        owner = np.arange(len(codes) - 2) // PASSAGE_WORDS
+        count = np.full(n, PASSAGE_WORDS, np.float64)
+        count[-1] = len(codes) - PASSAGE_WORDS * (n - 1)
+        rows[:, _MEASURES - 1] = np.bincount(owner[_repeated_windows(codes, len(seen) + 1)], minlength=n) / count
+    return rows
 
-    data = np.frombuffer(raw, np.uint8)
-    space = _SPACE[data]
-    begins = ~space & np.concatenate([[True], space[:-1]])
-    word_of = np.cumsum(begins) - 1
-    char_owner = np.maximum(word_of, 0) // PASSAGE_WORDS
-    table_ = np.bincount(char_owner * 256 + data, minlength=n * 256).reshape(n, 256)
+
+def _encoded(data: np.ndarray, size: int, starts: np.ndarray, codes: np.ndarray, last: int, width: int) -> np.ndarray:
+    """Encoding of a slice of ``size`` bytes that begins with a passage; ``data`` has the byte after it too, if there is one.
+
+    ``last`` is the code of the word before. The share of repeated windows is left at zero.
+    """
+    n = -(-len(codes) // PASSAGE_WORDS)
+    owner = np.arange(len(codes)) // PASSAGE_WORDS
+    count = np.bincount(owner, minlength=n).astype(np.float64)
+    firsts = starts[::PASSAGE_WORDS].copy()
+    firsts[0] = 0
+    char_owner = np.repeat(np.arange(n), np.diff(np.append(firsts, size)))
+    table_ = np.bincount(char_owner * 256 + data[:size], minlength=n * 256).reshape(n, 256)
     chars = np.maximum(table_[:, ~_SPACE].sum(1), 1)
     classes = table_ @ _CLASSES.T
 
-    # Words that occurred before in the passage, and the share of its three-word windows that occur elsewhere in the text.
-    local = owner * (len(seen) + 1) + codes
-    distinct = _spread(np.ones(len(u := np.unique(local))), u // (len(seen) + 1), n)
-    same_as_last = np.concatenate([[0.0], (codes[1:] == codes[:-1]).astype(float)])
-    repeated = np.zeros(n)
-    if len(codes) >= 3:
-        width = len(seen) + 1
-        pairs = codes[:-1] * width + codes[1:]
-        if width >= 2**21:
-            pairs = np.unique(pairs, return_inverse=True)[1]
-        _, place, times = np.unique(pairs[:-1] * width + codes[2:], return_inverse=True, return_counts=True)
-        repeated = _spread((times[place] > 1).astype(float), owner[:-2], n)
-
-    pair = ((data[:-1].astype(np.uint32) * 2654435761 + data[1:].astype(np.uint32) * 40503) >> np.uint32(7)) & (PAIR_BUCKETS - 1)
-    pair_table = np.bincount(char_owner[:-1] * PAIR_BUCKETS + pair, minlength=n * PAIR_BUCKETS).reshape(n, PAIR_BUCKETS)
+    # Words that occurred before in the passage, and words that follow themselves.
+    distinct = np.bincount(np.unique(owner * width + codes) // width, minlength=n)
+    same_as_last = (codes == np.append(last, codes[:-1])).astype(float)
+
+    following = data[1:].astype(np.uint32)
+    pair = ((data[: len(following)].astype(np.uint32) * 2654435761 + following * 40503) >> np.uint32(7)) & (PAIR_BUCKETS - 1)
+    pair_table = np.bincount(char_owner[: len(pair)] * PAIR_BUCKETS + pair, minlength=n * PAIR_BUCKETS).reshape(n, PAIR_BUCKETS)
     shares = np.sqrt(pair_table / np.maximum(pair_table.sum(1, keepdims=True), 1)).astype(np.float32)
     measures = np.column_stack([
         np.log1p(count),
@@ -106,8 +145,8 @@ def passages(text: str) -> np.ndarray:
         classes[:, 5] / chars,
         classes[:, 6] / chars,
         distinct / count,
-        _spread(same_as_last, owner, n) / count,
-        repeated / count,
+        np.bincount(owner, weights=same_as_last, minlength=n) / count,
+        np.zeros(n),
     ])
     return np.hstack([measures.astype(np.float32), shares @ _projection()])
 
@@ -185,24 +224,30 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, epochs: int = 30, batch: int
 
 
 def learn_quality(docs: DataFrame, labels: DataFrame, identifier: str = "doc_id", text: str = "text", label: str = "quality", sample_rows: int = SAMPLE_ROWS, seed: int = 9) -> QualityModel:
-    """Model from about ``sample_rows`` labels drawn at random; passages are encoded by the tasks.
+    """Model from about ``sample_rows`` labels drawn at random (by a hash of the id); passages are encoded by the tasks.
 
-    The drawn labels are bounded, so they are broadcast to the documents and no text is shuffled. Labels that are missing or of
-    unknown documents teach nothing; without any label every score is 0.5.
+    Drawn are only labels that have a document. A document that is labelled more than once has the mean of its labels; of rows that
+    share a labelled id one teaches. The drawn labels are bounded, so they are broadcast to the documents and no text is
+    shuffled. Labels that are missing or of unknown documents teach nothing; without any label every score is 0.5.
     """
-    known = labels.filter(F.col(label).isNotNull()).select(F.col(identifier).alias("__id"), F.col(label).cast("double").alias("__y"))
+    ids = docs.select(F.col(identifier).alias("__id")).distinct()
+    known = labels.filter(F.col(label).isNotNull()).groupBy(F.col(identifier).alias("__id")).agg(F.avg(F.col(label).cast("double")).alias("__y"))
+    known = known.join(ids, "__id", "left_semi")
     total = known.count()
     if not total:
         return fit([], np.zeros(0))
-    drawn = known.sample(min(1.0, sample_rows / total), seed)
+    share = F.pmod(F.xxhash64("__id", F.lit(seed)), F.lit(_SHARES))
+    drawn = known.filter(share < F.lit(int(_SHARES * min(1.0, sample_rows / total))))
     joined = docs.select(F.col(identifier).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(drawn), "__id")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bags = [passages(v).astype("<f2").tobytes() for v in texts_of(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([pa.array(bags, pa.binary()), batch.column(1)], ["bag", "y"])
+            yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(bags, pa.binary()), batch.column(1)], ["id", "bag", "y"])
 
-    found = joined.select("__text", "__y").mapInArrow(encode, "bag binary, y double").collect()
+    id_kind = docs.schema[identifier].dataType.simpleString()
+    encoded = joined.select("__text", "__y", "__id").mapInArrow(encode, f"id {id_kind}, bag binary, y double")
+    found = encoded.groupBy("id", "y").agg(F.min("bag").alias("bag")).select("bag", "y").collect()
     # The order of what the tasks return must not matter to the fit.
     found = sorted((bytes(r[0]), r[1]) for r in found)
     bags = [np.frombuffer(b, "<f2").astype(np.float32).reshape(-1, _SIZE) for b, _ in found]

@@ -1,6 +1,7 @@
 """Quality rules, URL filters, language ID and the quality classifier."""
 
 import re
+import tracemalloc
 from collections import Counter
 from zlib import crc32
 
@@ -223,3 +224,23 @@ def test_gradients_of_the_attention_model():
         logit = quality_classifier._forward(model.layers, rows, np.zeros(1, np.int64))[-1][0]
         right += (logit > 0) == bool(label)
     assert right / len(bags) > 0.95
+
+
+def test_passages_in_slices_and_in_bounded_memory(monkeypatch):
+    texts = ["", " \n", "a", "é " * 300 + " x", "a b c " * 700, "\x0b\x85 q " * 500, " ".join(f"w{k % 150}" for k in range(2000))]
+    whole = [quality_classifier.passages(t) for t in texts]
+    long = " ".join(f"w{k % 5000}" for k in range(1_500_000))
+    tracemalloc.start()
+    assert quality_classifier.passages(long).shape[0] == -(-1_500_000 // quality_classifier.PASSAGE_WORDS)
+    assert tracemalloc.get_traced_memory()[1] < 25 * len(long)
+    tracemalloc.stop()
+    monkeypatch.setattr(quality_classifier, "_SLICE", 2)
+    for text, rows in zip(texts, whole):
+        assert np.allclose(quality_classifier.passages(text), rows, atol=1e-5)
+
+
+def test_quality_sample_is_drawn_from_labels_with_a_document(spark):
+    docs = spark.createDataFrame([(k, "plain words in a row " * 3 if k % 2 else "## %% $$ || " * 9) for k in range(40)] * 2, "doc_id long, text string")
+    labels = spark.range(100_000).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS quality").unionAll(spark.range(40).selectExpr("id", "CAST(id % 2 AS int)"))
+    model = quality_classifier.learn_quality(docs, labels, sample_rows=100)
+    assert model.score("plain words in a row " * 3) > 0.5 > model.score("## %% $$ || " * 9)
