@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cube_queries.cubes import (
+    DERIVED_SQL,
     ORDERS_CUBE,
     PART_CUBE,
     flag_members,
@@ -408,3 +409,89 @@ def numeric_order(spark, folder):
     # Ids are unique, so the row number is the rank; all members lie in one group, so even a small one is numbered in ranges.
     placed = number_rows(part_members(spark, folder), ["dim_id"], [M.member_order()], "place", group_rows=PLACED_ROWS)
     return M.in_numeric_order(placed, "member_id").select("member_id", F.col("place").cast("bigint").alias("place"))
+
+
+_INTERVALS = (
+    _PART_PATHS
+    + """, parts AS (SELECT member_id, parent_id, path, string_split(path, '.') AS ids FROM paths WHERE above IS NULL),
+      sizes AS (SELECT prefix, count(*) AS size FROM (
+        SELECT unnest(list_transform(range(1, len(ids) + 1), lambda i: array_to_string(ids[1:i], '.'))) AS prefix FROM parts)
+        GROUP BY 1),
+      intervals AS (SELECT member_id, parent_id, path, ids,
+        (row_number() OVER (ORDER BY list_transform(ids, lambda x: x::BIGINT)))::INT AS entry, size FROM parts JOIN sizes ON prefix = path),
+      leaves AS (SELECT part_member::VARCHAR AS member_id, "REF_DATE", "Return flag", sum("VALUE") AS v, count("VALUE") AS n
+        FROM part_facts GROUP BY 1, 2, 3),
+      rolled AS (SELECT a.ancestor AS member_id, l."REF_DATE", l."Return flag", sum(l.v) AS v, sum(l.n)::BIGINT AS n
+        FROM leaves l JOIN (SELECT member_id, unnest(ids) AS ancestor FROM parts) a USING (member_id) GROUP BY 1, 2, 3)"""
+)
+_INTERVALS = _INTERVALS.replace("WITH RECURSIVE ", "WITH RECURSIVE part_cells AS (" + DERIVED_SQL["part_facts"] + "), ", 1).replace(
+    "FROM part_facts GROUP", "FROM part_cells GROUP"
+)
+
+
+def _part_intervals(spark, folder):
+    return M.member_intervals(part_members(spark, folder))
+
+
+def _part_cells(spark, folder):
+    return part_facts(spark, folder).select(
+        F.lit(PART_CUBE).alias("cube_id"),
+        F.lit(1).alias("dim_id"),
+        X.coordinate_part(F.col("COORDINATE"), 1).alias("member_id"),
+        "REF_DATE",
+        "Return flag",
+        "VALUE",
+    )
+
+
+@query(
+    "member_intervals",
+    _INTERVALS + """ SELECT member_id, parent_id, path AS hierarchy, entry, (entry + size - 1)::INT AS "exit" FROM intervals""",
+)
+def member_intervals(spark, folder):
+    return _part_intervals(spark, folder).select("member_id", "parent_id", "hierarchy", "entry", "exit")
+
+
+@query(
+    "subtree_by_interval",
+    _INTERVALS
+    + """ SELECT member_id, entry FROM intervals
+          WHERE ids[1] IN (SELECT type_id::VARCHAR FROM part_types WHERE p_type IN ('PROMO', 'SMALL')) OR ids[2]::BIGINT % 5 = 0""",
+)
+def subtree_by_interval(spark, folder):
+    """Roots on two levels of the tree, some of them below others."""
+    tree = _part_intervals(spark, folder)
+    depth = X.path_depth(F.col("hierarchy"))
+    brands = (depth == 1) & (F.col("member_id").cast("bigint") % 5 == 0)
+    roots = tree.filter(((depth == 0) & F.col("member_name").isin("PROMO", "SMALL")) | brands)
+    return M.members_under(tree, roots, span_rows=PLACED_ROWS).select("member_id", "entry")
+
+
+@query(
+    "roll_up_members",
+    _INTERVALS + """ SELECT member_id, "REF_DATE", "Return flag", v AS "VALUE", n AS n_values FROM rolled""",
+)
+def roll_up_members(spark, folder):
+    """Values of the parts, added up to brands and types."""
+    rolled = M.roll_up(_part_cells(spark, folder), _part_intervals(spark, folder), ["REF_DATE", "Return flag"])
+    return rolled.select("member_id", "REF_DATE", "Return flag", "VALUE", "n_values")
+
+
+@query(
+    "children_against_parent",
+    _INTERVALS
+    + """, published AS (SELECT *, CASE WHEN member_id::BIGINT % 7 = 0 THEN v + 1 ELSE v END AS p FROM rolled),
+      below AS (SELECT m.parent_id AS member_id, "REF_DATE", "Return flag", sum(p) AS children, count(p) AS n_children
+        FROM published JOIN parts m USING (member_id) WHERE m.parent_id IS NOT NULL GROUP BY 1, 2, 3)
+      SELECT member_id, "REF_DATE", "Return flag", p AS published, children, n_children, p - children AS difference
+      FROM below JOIN published USING (member_id, "REF_DATE", "Return flag")""",
+)
+def children_against_parent(spark, folder):
+    """Published values of all levels, every seventh of them revised, against the sums of the level below."""
+    tree = _part_intervals(spark, folder)
+    keys = ["REF_DATE", "Return flag"]
+    revised = F.when(F.col("member_id").cast("bigint") % 7 == 0, F.col("VALUE") + 1).otherwise(F.col("VALUE"))
+    published = M.roll_up(_part_cells(spark, folder), tree, keys).withColumn("VALUE", revised)
+    return M.children_against_parent(published, tree, keys).select(
+        "member_id", *keys, "published", "children", "n_children", "difference"
+    )

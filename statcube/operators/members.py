@@ -296,3 +296,125 @@ def subtree(
         .distinct()
     )
     return lookup_join(df, hits, [name], "left_semi")
+
+
+#: Numbers of a tree that one task adds up.
+SPAN_ROWS = 1_000_000
+
+
+def member_intervals(members: DataFrame) -> DataFrame:
+    """Add ``hierarchy``, ``entry`` and ``exit``: numbers of every dimension's tree from the root down, siblings in numeric order.
+
+    The members at or below a member are those whose ``entry`` lies from its ``entry`` to its ``exit``. Members are numbered
+    in ranges of their sorted paths and counted under each of their path's prefixes, so no task walks a tree. Of
+    repeated rows of a member one stays; an ancestor that is no member gets no numbers; members of a cycle are numbered by the paths that
+    end where it closes.
+    """
+    key = list(DIMENSION_KEY)
+    tree = materialize(build_hierarchy(members.dropDuplicates([*key, "member_id"])), "tree")
+    paths = tree.select(*key, "hierarchy").distinct()
+    number = lambda part: F.struct(
+        part.try_cast("bigint").isNull().alias("other"), part.try_cast("bigint").alias("number"), part.alias("id")
+    )
+    ordered = paths.withColumn("__order", F.transform(F.split("hierarchy", r"\."), number))
+    numbered = number_rows(ordered, key, [F.col("__order")], "entry").drop("__order")
+    sizes = (
+        paths.select(*key, F.explode(X.path_prefixes(F.col("hierarchy"))).alias("hierarchy"))
+        .groupBy(*key, "hierarchy")
+        .agg(F.count(F.lit(1)).alias("size"))
+    )
+    spans = lookup_join(numbered, sizes, [*key, "hierarchy"]).select(
+        *key, "hierarchy", "entry", (F.col("entry") + F.col("size") - 1).cast("int").alias("exit")
+    )
+    return lookup_join(tree, spans, [*key, "hierarchy"])
+
+
+def in_interval(intervals: Iterable[tuple[int, int]], name: str = "entry") -> Column:
+    """Predicate of rows within any of the given (entry, exit) pairs; it reaches the Parquet scan of rows that store their entry."""
+    chosen = F.lit(False)
+    for entry, last in intervals:
+        chosen = chosen | column(name).between(entry, last)
+    return chosen
+
+
+def members_under(intervals: DataFrame, roots: DataFrame, span_rows: int = SPAN_ROWS) -> DataFrame:
+    """Members at or below the members of a frame (``cube_id, dim_id, member_id``) of any size, by their intervals.
+
+    Every root opens its interval at ``entry`` and closes it after ``exit``; a member is chosen where the running sum of openings and
+    closings is above 0. The sum runs inside spans of the numbers and is shifted by the sums of earlier spans.
+    """
+    key = list(DIMENSION_KEY)
+    intervals = materialize(intervals, "intervals")
+    places = intervals.select(*key, "entry", "exit").distinct()
+    wanted = roots.select(*key, "member_id").distinct()
+    chosen = lookup_join(intervals, wanted, [*key, "member_id"], "left_semi").select(*key, "entry", "exit").distinct()
+    edges = F.array(
+        F.struct(F.col("entry").alias("entry"), F.lit(1).alias("step")),
+        F.struct((F.col("exit") + 1).alias("entry"), F.lit(-1).alias("step")),
+    )
+    steps = chosen.select(*key, F.inline(edges)).groupBy(*key, "entry").agg(F.sum("step").alias("step"))
+    stepped = lookup_join(places, steps, [*key, "entry"]).select(
+        *key, "entry", F.coalesce("step", F.lit(0)).alias("step"), F.floor(F.col("entry") / span_rows).alias("span")
+    )
+    stepped = materialize(stepped, "steps")
+    earlier = Window.partitionBy(*key).orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = (
+        stepped.groupBy(*key, "span")
+        .agg(F.sum("step").alias("sum"))
+        .select(*key, "span", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("shift"))
+    )
+    inside = Window.partitionBy(*key, "span").orderBy("entry").rowsBetween(Window.unboundedPreceding, 0)
+    running = stepped.withColumn("open", F.sum("step").over(inside))
+    hits = lookup_join(running, shifts, [*key, "span"]).filter(F.col("open") + F.col("shift") > 0)
+    return lookup_join(intervals, hits.select(*key, "entry"), [*key, "entry"], "left_semi")
+
+
+def roll_up(cells: DataFrame, members: DataFrame, keys: Iterable[str], value: str = "VALUE") -> DataFrame:
+    """Sum and number of values at or below every member, per ``keys`` (other dimensions and the period).
+
+    ``cells`` hold ``cube_id, dim_id, member_id``, the keys and the value; ``members`` are those of ``member_intervals`` or
+    ``build_hierarchy``. Cells are added up per member first; each sum is then added to the members on its path, all levels in one
+    aggregate that combines before the shuffle. Cells of ids that are no members are left out; missing values count as none.
+    """
+    key, keys = list(DIMENSION_KEY), list(keys)
+    named = [column(k) for k in keys]
+    tree = materialize(members.select(*key, "member_id", "hierarchy").distinct(), "tree")
+    own = cells.groupBy(*key, "member_id", *named).agg(F.sum(column(value)).alias("sum"), F.count(column(value)).alias("n"))
+    above = tree.select(*key, "member_id", F.explode(X.path_prefixes(F.col("hierarchy"))).alias("hierarchy"))
+    # Ancestors that are no members get no sum.
+    above = lookup_join(above, tree.select(*key, "hierarchy"), [*key, "hierarchy"], "left_semi").select(
+        *key, "member_id", X.path_leaf(F.col("hierarchy")).alias("ancestor")
+    )
+    return (
+        lookup_join(own, above, [*key, "member_id"], "inner")
+        .groupBy(*key, F.col("ancestor").alias("member_id"), *named)
+        .agg(F.sum("sum").alias(value), F.sum("n").alias("n_values"))
+    )
+
+
+def children_against_parent(
+    cells: DataFrame, members: DataFrame, keys: Iterable[str], value: str = "VALUE"
+) -> DataFrame:
+    """Published value of every parent beside the sum of its children's values, per ``keys``.
+
+    One row per parent and keys that a parent or a child has a cell for: ``published``, ``children``, ``n_children`` (with a value) and
+    ``difference`` (NULL if a side is missing). Both sides meet in one aggregate, so missing keys meet too.
+    """
+    key, keys = list(DIMENSION_KEY), list(keys)
+    named = [column(k) for k in keys]
+    links = members.filter("parent_id IS NOT NULL").select(*key, "member_id", "parent_id").distinct()
+    links, size = materialize_measured(links, "links")
+    parents = links.select(*key, F.col("parent_id").alias("member_id")).distinct()
+    nothing = F.lit(None).cast(cells.schema[value].dataType)
+    own = lookup_join(cells, parents, [*key, "member_id"], "left_semi", bounded=size).select(
+        *key, "member_id", *named, column(value).alias("published"), nothing.alias("children")
+    )
+    below = lookup_join(cells, links, [*key, "member_id"], "inner", bounded=size).select(
+        *key, F.col("parent_id").alias("member_id"), *named, nothing.alias("published"), column(value).alias("children")
+    )
+    return (
+        own.unionByName(below)
+        .groupBy(*key, "member_id", *named)
+        .agg(F.sum("published").alias("published"), F.sum("children").alias("children"), F.count("children").alias("n_children"))
+        .withColumn("difference", F.col("published") - F.col("children"))
+    )

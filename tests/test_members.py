@@ -186,3 +186,59 @@ def test_orders(spark):
     levels = M.category_levels(M.dedupe_members(frame(spark, DUPLICATES))).withColumnRenamed("ord", "D__ord")
     names = [r.level_name for r in M.in_category_order(levels, "D").collect()]
     assert names[0] == "Total [1]" and names[-1] == "Unique" and len(names) == len(DUPLICATES)
+
+
+def spans(df):
+    return {r.member_id: (r.entry, r.exit) for r in M.member_intervals(df).collect()}
+
+
+@pytest.mark.parametrize("depth", [1, 6, 40])
+def test_intervals_hold_the_subtrees(spark, depth):
+    rng = random.Random(depth)
+    rows = [("1", "m", None), ("900", "m", "999")]
+    rows += [(str(i), "m", str(rng.randint(max(1, i - 1 - 120 // depth), i - 1))) for i in range(2, 120)]
+    tree = walk(rows)
+    found = spans(frame(spark, rows))
+    assert sorted(e for e, _ in found.values()) == list(range(1, len(rows) + 1))
+    for m, (entry, last) in found.items():
+        under = {o for o, path in tree.items() if (path + ".").startswith(tree[m] + ".")}
+        assert under == {o for o, (e, _) in found.items() if entry <= e <= last}
+
+
+def test_intervals_in_ranges(spark, unbounded):
+    rows = [("2", "a", None), ("10", "b", None), ("x", "c", None), ("3", "d", "10"), ("21", "e", "2"), ("3", "d", "10")]
+    found = spans(frame(spark, rows))
+    assert found == {"2": (1, 2), "21": (2, 2), "10": (3, 4), "3": (4, 4), "x": (5, 5)}
+
+
+@pytest.mark.parametrize("span_rows", [1, 3, 1000])
+def test_members_under_nested_roots(spark, span_rows):
+    rows = [("1", "a", None), ("2", "b", "1"), ("3", "c", "2"), ("3", "c", "2"), ("4", "d", "1"), ("5", "e", None), ("6", "f", "5")]
+    members = M.member_intervals(frame(spark, rows))
+    for roots, wanted in ((["2", "3"], "23"), (["1", "2"], "1234"), (["6", "nobody"], "6"), ([], ""), (["4", "5"], "456")):
+        chosen = frame(spark, [(r, "", None) for r in roots]) if roots else members.limit(0)
+        got = M.members_under(members, chosen, span_rows)
+        assert "".join(sorted(r.member_id for r in got.collect())) == wanted
+    assert {r.member_id for r in members.filter(M.in_interval([(2, 3)])).collect()} == {"2", "3"}
+    assert members.filter(M.in_interval([])).count() == 0
+
+
+def test_sums_over_the_tree(spark):
+    members = M.member_intervals(frame(spark, TREE))
+    rows = [("1", "t", 9.0), ("10", "t", 1.0), ("10", "t", 2.0), ("3", "t", None), ("5", "t", 4.0), ("7", "t", 8.0), ("2", None, 6.0), ("1", None, 6.5)]
+    cells = spark.createDataFrame([("14-10-0001", 1, *r) for r in rows], "cube_id string, dim_id int, member_id string, `a.b` string, VALUE double")
+    got = {(r["member_id"], r["a.b"]): (r["VALUE"], r["n_values"]) for r in M.roll_up(cells, members, ["a.b"]).collect()}
+    assert got == {
+        ("1", "t"): (12.0, 3), ("2", "t"): (3.0, 2), ("10", "t"): (3.0, 2), ("3", "t"): (None, 0), ("5", "t"): (4.0, 1),
+        ("1", None): (12.5, 2), ("2", None): (6.0, 1),
+    }
+    pairs = M.children_against_parent(cells, members, ["a.b"]).collect()
+    assert {(r["member_id"], r["a.b"]): (r["published"], r["children"], r["n_children"], r["difference"]) for r in pairs} == {
+        ("1", "t"): (9.0, None, 0, None), ("2", "t"): (None, 3.0, 2, None), ("9", "t"): (None, 4.0, 1, None),
+        ("1", None): (6.5, 6.0, 1, 0.5), ("2", None): (6.0, None, 0, None),
+    }
+
+
+def test_intervals_of_no_members(spark):
+    members = M.member_intervals(frame(spark, TREE).limit(0))
+    assert members.count() == 0 and {"entry", "exit"} <= set(members.columns)
