@@ -114,6 +114,38 @@ def test_packing_against_library(spark, library, odd):
     assert packed_well(rows, 4096) <= least * 1.02 + 1
 
 
+def test_texts_are_encoded_many_at_once(library, monkeypatch):
+    """Equal to the library for any grouping of texts; a group asks it once for its new words, not once per text."""
+    rnd = random.Random(7)
+    latin = [chr(c) for c in range(0x180) if bpe._PLAIN.fullmatch(chr(c))]
+    texts = [*ODD, "'s's", "''s", "x'll've", "'d9'm'", "'", "'r", "it's 'sun é's'é 12'34's5", "a_b'_s", "'RE'\t\n\x0b\x0c\r'S", "\x1c's"]
+    for alphabet in ("'" * 5 + "strevmld0 9é.!\n\tSÀ", latin, [*latin, "漢", "́", "²", "\0", "<|"]):
+        texts += ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 30))) for _ in range(1500)]
+    texts += ["it's " * 900, "x" * 3000, ""]
+    want = [np.asarray(e.ids, "<u4").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
+    coder = packing.LibraryWords(tokenizer_file(bpe.TOKENIZER))
+    assert [coder.encode(t) for t in texts] == want and list(coder.encode_all([])) == []
+    for size in (1, 1000, 1_000_000):
+        monkeypatch.setattr(packing, "CHARACTERS_AT_ONCE", size)
+        assert list(packing.LibraryWords(tokenizer_file(bpe.TOKENIZER)).encode_all(iter(texts))) == want
+
+    class Counted:
+        calls = 0
+
+        def __init__(self, inner):
+            self.inner = inner
+
+        def encode_batch_fast(self, *args, **options):
+            self.calls += 1
+            return self.inner.encode_batch_fast(*args, **options)
+
+    coder = packing.LibraryWords(tokenizer_file(bpe.TOKENIZER))
+    coder._words = Counted(coder._words)
+    group = [f"{a}{b} new" for a in "abcdefghij" for b in "klmnopqrst"]
+    assert list(coder.encode_all(group)) == [np.asarray(e.ids, "<u4").tobytes() for e in library.encode_batch(group, add_special_tokens=False)]
+    assert coder._words.calls == 1
+
+
 def test_packing_in_many_partitions_and_small_nodes(spark):
     """Up the tree with tiny carries: nothing is lost, and the packing stays close to the least number."""
     rnd = random.Random(5)
