@@ -311,7 +311,7 @@ def pack_tokens(
 def pack_documents(docs: DataFrame, path: str | None = None, forget: bool = False) -> DataFrame:
     """``pack_tokens`` of ``doc_id`` and ``text`` by the word-BPE tokenizer file.
 
-    With ``forget`` a Python worker drops the words it remembers at the end of a task, for jobs in which it lives on with other stages.
+    With ``forget`` a Python worker drops the words it remembers, and memory that Arrow keeps, at the end of a task, for jobs in which it lives on with other stages.
     """
 
     def encode() -> Callable[[Iterable[str]], Iterator[bytes]]:
@@ -319,6 +319,7 @@ def pack_documents(docs: DataFrame, path: str | None = None, forget: bool = Fals
 
     def forget_words() -> None:
         library_words(path or tokenizer_file(TOKENIZER))._known.clear()
+        pa.default_memory_pool().release_unused()
 
     return pack_tokens(docs, "doc_id", "text", encode, finish=forget_words if forget else None, many=True)
 
